@@ -34,13 +34,13 @@ def as_small_table(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame |
 def _match(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: bool) -> Column:
     condition = F.lit(True)
     for k in on:
-        a, b = left[k], right[f"_{k}"]
+        a, b = left[k], right[f"_of_{k}"]
         condition = condition & (a.eqNullSafe(b) if null_safe else a == b)
     return condition
 
 
 def _prefixed(table: DataFrame, on: Sequence[str]) -> DataFrame:
-    return table.withColumnsRenamed({k: f"_{k}" for k in on})
+    return table.withColumnsRenamed({k: f"_of_{k}" for k in on})
 
 
 def attach(
@@ -64,18 +64,18 @@ def attach(
     if small is not None:
         side = F.broadcast(_prefixed(small, on))
         return rows.join(side, _match(rows, side, on, null_safe), "left").drop(
-            *[f"_{k}" for k in on]
+            *[f"_of_{k}" for k in on]
         )
     if weight is None:
         side = _prefixed(table, on)
         return rows.join(side, _match(rows, side, on, null_safe), "left").drop(
-            *[f"_{k}" for k in on]
+            *[f"_of_{k}" for k in on]
         )
 
     hot = table.orderBy(F.col(weight).desc()).limit(hot_keys)
     hot = _prefixed(hot.select(*on, F.struct(*values).alias("_hot")), on)
     step = rows.join(F.broadcast(hot), _match(rows, hot, on, null_safe), "left").drop(
-        *[f"_{k}" for k in on]
+        *[f"_of_{k}" for k in on]
     )
     answered = F.col("_hot").isNotNull()
     if not null_safe:

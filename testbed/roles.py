@@ -143,10 +143,10 @@ _KEY = "c_custkey"
 APPLICATION = {
     "SK_ID_CURR": _KEY,
     "TARGET": f"case when {_KEY} % 7 = 0 then null when c_acctbal < 0 then 1 else 0 end",
-    "AMT_INCOME_TOTAL": _num(f"1000 * (20 + {_KEY} % 97)"),
-    "AMT_CREDIT": _num(f"case when {_KEY} % 53 = 0 then 0 else 1000 * (50 + ({_KEY} * 31) % 503) end"),
+    "AMT_INCOME_TOTAL": _num(f"991 * (20 + {_KEY} % 97)"),
+    "AMT_CREDIT": _num(f"case when {_KEY} % 53 = 0 then 0 else 997 * (50 + ({_KEY} * 31) % 503) end"),
     "AMT_ANNUITY": _unless(f"{_KEY} % 41 = 0", f"500 + ({_KEY} * 17) % 9973"),
-    "AMT_GOODS_PRICE": _unless(f"{_KEY} % 43 = 0", f"900 * (50 + ({_KEY} * 31) % 503)"),
+    "AMT_GOODS_PRICE": _unless(f"{_KEY} % 43 = 0", f"887 * (50 + ({_KEY} * 31) % 503)"),
     "CNT_FAM_MEMBERS": _num(f"{_KEY} % 5"),
     "CNT_CHILDREN": _num(f"{_KEY} % 3"),
     "DAYS_BIRTH": _num(f"0 - 7000 - ({_KEY} * 37) % 18000"),
@@ -154,9 +154,9 @@ APPLICATION = {
     "DAYS_REGISTRATION": _num(f"0 - ({_KEY} * 59) % 8000"),
     "DAYS_ID_PUBLISH": _num(f"0 - ({_KEY} * 61) % 6000"),
     "OWN_CAR_AGE": _unless(f"{_KEY} % 3 > 0", f"{_KEY} % 30"),
-    "EXT_SOURCE_1": _unless(f"{_KEY} % 2 = 0", f"cast(({_KEY} * 7919) % 1009 as double) / 1009"),
-    "EXT_SOURCE_2": _unless(f"{_KEY} % 29 = 0", f"cast(({_KEY} * 104729) % 1013 as double) / 1013"),
-    "EXT_SOURCE_3": _unless(f"{_KEY} % 5 = 0", f"cast(({_KEY} * 1299709) % 1019 as double) / 1019"),
+    "EXT_SOURCE_1": _unless(f"{_KEY} % 2 = 0", f"cast(100 + ({_KEY} * 7919) % 907 as double) / 1009"),
+    "EXT_SOURCE_2": _unless(f"{_KEY} % 29 = 0", f"cast(100 + ({_KEY} * 104729) % 911 as double) / 1013"),
+    "EXT_SOURCE_3": _unless(f"{_KEY} % 5 = 0", f"cast(100 + ({_KEY} * 1299709) % 919 as double) / 1019"),
     **{f"FLAG_DOCUMENT_{i}": f"cast(case when {_KEY} % {i + 1} = 0 then 1 else 0 end as int)" for i in range(2, 22)},
     **{
         f"FLAG_{c}": f"cast(case when {_KEY} % {i} = 0 then 0 else 1 end as int)"
