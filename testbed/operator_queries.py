@@ -344,8 +344,9 @@ _KNN = with_ctes(
 @query(_KNN)
 def neighbour_label_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = embedding_points(spark, sf_dir)
-    return rounded(knn.out_of_fold_neighbour_means(
-        rows, "vec_id", "y", "fold_main", 5, [f"x{i}" for i in range(4)], _K, out="neighbour_mean"))
+    near = knn.neighbour_means(rows, "vec_id", "y", "fold_main", 5, [f"x{i}" for i in range(4)], _K,
+                               out="neighbour_mean", every_context=False)
+    return rounded(near.drop("context"))
 
 
 # -------------------------------------------------------------- pruning decisions
