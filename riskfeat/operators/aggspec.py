@@ -2,7 +2,7 @@
 
 A ``Block`` is one output family: a name prefix, an optional row predicate (a
 stratum or a recency window) and a list of ``Stat``. ``aggregate_blocks``
-turns any number of blocks over one table into one scan.
+turns any number of blocks over one table into few passes.
 
 Narrow specs become a single ``groupBy`` whose aggregates are guarded by the
 block predicate. Wide specs would then make every row touch every accumulator
@@ -11,6 +11,10 @@ belongs to inside the scan stage, aggregated by (key, block) with map-side
 combine, and the few combined rows per key are folded into columns. Only
 combined rows are shuffled, so a key holding a large share of the table costs
 no more than any other key.
+
+Blocks expanded together compute the union of their statistics. An
+unconditional block much wider than the conditional ones therefore gets a
+plain aggregate of its own.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ONE_PASS_LIMIT = 40
+SPLIT_RATIO = 1.5
 _TAG = "_block"
 
 
@@ -63,24 +68,40 @@ def flag_stats(column: str, label: str, sum_name: str = "SUM", rate_name: str =
     return [Stat(f"{label}_{sum_name}", "sum", column), Stat(f"{label}_{rate_name}", "mean", column)]
 
 
-def _evaluate(stat: Stat, where: Column | None) -> Column:
-    """The aggregate expression; NULL when the block has no row for the key."""
-    rows = F.count(F.lit(1)) if where is None else F.count(F.when(where, F.lit(1)))
+_SQL = {
+    "count": "count(1)", "mean": "avg({c})", "max": "max({c})", "min": "min({c})",
+    "std": "stddev_samp({c})",
+    # rows without any value sum to zero
+    "sum": "coalesce(sum({c}), 0)",
+}
+
+
+def _quoted(name: str) -> str:
+    return f"`{name}`"
+
+
+def _plain(stat: Stat, name: str) -> Column:
+    """The aggregate over all rows; one parsed expression keeps wide plans quick to build."""
+    value = "" if stat.column is None else _quoted(stat.column)
+    return F.expr(f"{_SQL[stat.fn].format(c=value)} AS {_quoted(name)}")
+
+
+def _guarded(stat: Stat, where: Column) -> Column:
+    """The aggregate over the rows of a block; NULL when the key has none there."""
+    rows = F.count(F.when(where, F.lit(1)))
     if stat.fn == "count":
-        return rows if where is None else F.nullif(rows, F.lit(0).cast("bigint"))
-    value = F.col(stat.column) if where is None else F.when(where, F.col(stat.column))
+        return F.nullif(rows, F.lit(0).cast("bigint"))
+    value = F.when(where, F.col(stat.column))
     if stat.fn == "sum":
-        # a block with rows but no value sums to zero
-        zero_filled = F.coalesce(F.sum(value), F.lit(0))
-        return zero_filled if where is None else F.when(rows > 0, zero_filled)
-    fns = {"mean": F.avg, "max": F.max, "min": F.min, "std": F.stddev_samp}
-    return fns[stat.fn](value)
+        return F.when(rows > 0, F.coalesce(F.sum(value), F.lit(0)))
+    return {"mean": F.avg, "max": F.max, "min": F.min, "std": F.stddev_samp}[stat.fn](value)
 
 
 def _one_pass(df: DataFrame, keys: Sequence[str], blocks: Sequence[Block]) -> DataFrame:
-    return df.groupBy(*keys).agg(
-        *[_evaluate(s, b.where).alias(b.name(s)) for b in blocks for s in b.stats]
-    )
+    return df.groupBy(*keys).agg(*[
+        _plain(s, b.name(s)) if b.where is None else _guarded(s, b.where).alias(b.name(s))
+        for b in blocks for s in b.stats
+    ])
 
 
 def _tagged(df: DataFrame, keys: Sequence[str], blocks: Sequence[Block]) -> DataFrame:
@@ -96,23 +117,26 @@ def _tagged(df: DataFrame, keys: Sequence[str], blocks: Sequence[Block]) -> Data
     by_block = (
         df.select(*keys, *inputs, F.explode(F.array_compact(F.array(*tags))).alias(_TAG))
         .groupBy(*keys, _TAG)
-        .agg(*[_evaluate(Stat("", fn, c), None).alias(n) for (fn, c), n in wanted.items()])
+        .agg(*[_plain(Stat("", fn, c), n) for (fn, c), n in wanted.items()])
     )
     # one struct per block and key: folding structs keeps the second aggregate
     # as narrow as the number of blocks
-    folded = by_block.groupBy(*keys).agg(*[
-        F.max_by(
-            F.struct(*dict.fromkeys(wanted[s.fn, s.column] for s in b.stats)),
-            F.when(F.col(_TAG) == i, F.lit(1)),
-        ).alias(f"b{i}")
-        for i, b in enumerate(blocks)
-    ])
-    return folded.select(*keys, *[
-        F.col(f"b{i}")[wanted[s.fn, s.column]].alias(b.name(s))
+    folds = []
+    for i, b in enumerate(blocks):
+        fields = ", ".join(dict.fromkeys(wanted[s.fn, s.column] for s in b.stats))
+        folds.append(F.expr(f"max_by(struct({fields}), CASE WHEN {_TAG} = {i} THEN 1 END) AS b{i}"))
+    return by_block.groupBy(*keys).agg(*folds).selectExpr(*map(_quoted, keys), *[
+        f"b{i}.{wanted[s.fn, s.column]} AS {_quoted(b.name(s))}"
         for i, b in enumerate(blocks) for s in b.stats
     ])
 
 
+def conditional_blocks(df: DataFrame, key: str | Sequence[str], blocks: Sequence[Block]) -> DataFrame:
+    """Blocks with predicates only: a key appears when it has a row in any of them."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return _tagged(df, keys, blocks)
+
+
 def aggregate_blocks(
     df: DataFrame,
     key: str | Sequence[str],
@@ -121,14 +145,17 @@ def aggregate_blocks(
 ) -> DataFrame:
     """All blocks of a spec, one row per key.
 
-    At least one block must be unconditional so that every key keeps its row.
+    The first block must be unconditional so that every key keeps its row.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    if all(b.where is not None for b in blocks):
-        raise ValueError("a spec needs one block without a predicate")
+    if blocks[0].where is not None:
+        raise ValueError("the first block of a spec must have no predicate")
     width = sum(len(b.stats) for b in blocks)
     if len(blocks) == 1 or width <= one_pass_limit:
         return _one_pass(df, keys, blocks)
+    shared = {(s.fn, s.column) for b in blocks[1:] for s in b.stats}
+    if len(blocks[0].stats) > SPLIT_RATIO * len(shared):
+        return _one_pass(df, keys, blocks[:1]).join(_tagged(df, keys, blocks[1:]), keys, "left")
     return _tagged(df, keys, blocks)
 
 
@@ -141,12 +168,12 @@ def distinct_counts(df: DataFrame, key: str, outputs: Mapping[str, str]) -> Data
     triples = df.select(
         key,
         F.explode(F.array(*[
-            F.struct(F.lit(out).alias("name"), F.col(c).cast("string").alias("value"))
-            for out, c in outputs.items()
+            F.struct(F.lit(i).alias("which"), F.col(c).cast("string").alias("value"))
+            for i, c in enumerate(outputs.values())
         ])).alias("t"),
-    ).select(key, "t.name", "t.value").distinct()
+    ).select(key, "t.which", "t.value").distinct()
     return triples.groupBy(key).agg(
-        *[F.count_if(F.col("name") == out).alias(out) for out in outputs]
+        *[F.count_if(F.col("which") == i).alias(out) for i, out in enumerate(outputs)]
     )
 
 

@@ -23,6 +23,7 @@ from riskfeat.operators.rank import ordinals
 NULL_FLAG = "__isnan"
 CODE = "__nn"
 ONE_HOT_LIMIT = 1_000
+INLINE_ENTRIES = 100
 
 
 # ------------------------------------------------------------- vocabularies
@@ -47,26 +48,46 @@ def count_encode(
     A NULL category gets NULL, not the number of NULLs.
     """
     counts = category_counts(df, columns)
-    total = df.count()
     known = counts.filter(F.col("value").isNotNull())
-    rows = collect_bounded(known, max_rows) if max_rows > 0 else None
+    rows = collect_bounded(counts, max_rows) if max_rows > 0 else None
+    if rows is None:
+        total = df.count()
+    else:
+        total = sum(r["n"] for r in rows if r["column"] == columns[0])
+    looked_up: dict[str, Column] = {}
     out = df
     for c in columns:
-        if rows is not None:
-            mine = [(r["value"], r["n"]) for r in rows if r["column"] == c]
-            dictionary = df.sparkSession.createDataFrame(mine, f"`{c}` string, _n bigint")
+        mine = None if rows is None else {
+            r["value"]: r["n"] for r in rows if r["column"] == c and r["value"] is not None
+        }
+        if mine is not None and len(mine) <= INLINE_ENTRIES:
+            looked_up[c] = _inline(mine, c)
+            continue
+        if mine is not None:
+            dictionary = df.sparkSession.createDataFrame(list(mine.items()), f"`{c}` string, `_n_{c}` bigint")
             side = F.broadcast(dictionary.withColumnRenamed(c, "_value"))
             out = out.join(side, out[c] == side["_value"], "left").drop("_value")
         else:
             dictionary = known.filter(F.col("column") == c).select(
-                F.col("value").alias(c), F.col("n").alias("_n")
+                F.col("value").alias(c), F.col("n").alias(f"_n_{c}")
             )
-            out = attach(out, dictionary, c, weight="_n", max_rows=0)
-        out = out.withColumns({
-            f"{prefix}_COUNT_{c}": F.col("_n"),
-            f"{prefix}_FREQ_{c}": F.try_divide(F.col("_n").cast("double"), F.lit(float(total))),
-        }).drop("_n")
-    return out
+            out = attach(out, dictionary, c, weight=f"_n_{c}", max_rows=0)
+        looked_up[c] = F.col(f"_n_{c}")
+    made = []
+    for c in columns:
+        made += [
+            looked_up[c].alias(f"{prefix}_COUNT_{c}"),
+            F.try_divide(looked_up[c].cast("double"), F.lit(float(total))).alias(f"{prefix}_FREQ_{c}"),
+        ]
+    return out.select(*df.columns, *made)
+
+
+def _inline(entries: Mapping[str, int], column: str) -> Column:
+    """A short dictionary as a literal map: no join for the usual few categories."""
+    if not entries:
+        return F.lit(None).cast("bigint")
+    pairs = [x for value, n in entries.items() for x in (F.lit(value), F.lit(n).cast("bigint"))]
+    return F.try_element_at(F.create_map(*pairs), F.col(column))
 
 
 def one_hot(
@@ -95,37 +116,49 @@ def one_hot(
     return df.select("*", *[e.alias(n) for n, e in hot.items()])
 
 
+def _add_codes(
+    df: DataFrame, fitted: DataFrame, columns: Sequence[str], first: int, missing: int, suffix: str, max_rows: int
+) -> DataFrame:
+    """Codes ``first, first + 1, ...`` in lexicographic order of the categories of ``fitted``."""
+    known = category_counts(fitted, columns).filter(F.col("value").isNotNull())
+    rows = collect_bounded(known, max_rows) if max_rows > 0 else None
+    codes = None
+    if rows is None:
+        codes = ordinals(known, "value", F.substring("value", 1, 2), by="column", out="code")
+    out = df
+    found: dict[str, Column] = {}
+    for c in columns:
+        code = f"{c}{suffix}"
+        if rows is not None:
+            mine = {v: i + first for i, v in enumerate(sorted(r["value"] for r in rows if r["column"] == c))}
+            if len(mine) <= INLINE_ENTRIES:
+                found[c] = _inline(mine, c)
+                continue
+            table = df.sparkSession.createDataFrame(list(mine.items()), f"`{c}` string, `_c_{c}` bigint")
+            out = attach(out, table, c, max_rows=max_rows)
+        else:
+            table = codes.filter(F.col("column") == c).select(
+                F.col("value").alias(c), (F.col("code") + first).cast("bigint").alias(f"_c_{c}"), F.col("n").alias("_n")
+            )
+            out = attach(out, table, c, weight="_n", max_rows=0).drop("_n")
+        found[c] = F.col(f"_c_{c}")
+    made = [F.coalesce(found[c].cast("int"), F.lit(missing)).alias(f"{c}{suffix}") for c in columns]
+    return out.select(*df.columns, *made)
+
+
 def label_codes(
     df: DataFrame, columns: Sequence[str], suffix: str = CODE, missing: int = -1,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Integer code per category in lexicographic order; NULL becomes ``missing``."""
-    known = category_counts(df, columns).filter(F.col("value").isNotNull())
-    codes = ordinals(known, "value", F.substring("value", 1, 2), by="column", out="code")
-    out = df
-    for c in columns:
-        mine = codes.filter(F.col("column") == c).select(
-            F.col("value").alias(c), F.col("code").cast("int").alias(f"{c}{suffix}"), "n"
-        )
-        out = attach(out, mine, c, weight="n", max_rows=max_rows).drop("n")
-        out = out.withColumn(f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), F.lit(missing)))
-    return out
+    return _add_codes(df, df, columns, 0, missing, suffix, max_rows)
 
 
 def train_fold_codes(
     df: DataFrame, columns: Sequence[str], train: Column, suffix: str = "__code", max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Codes 1, 2, ... fitted on the rows where ``train`` holds; unseen and NULL are 0."""
-    known = category_counts(df.filter(train), columns).filter(F.col("value").isNotNull())
-    codes = ordinals(known, "value", F.substring("value", 1, 2), by="column", out="code")
-    out = df
-    for c in columns:
-        mine = codes.filter(F.col("column") == c).select(
-            F.col("value").alias(c), (F.col("code") + 1).cast("int").alias(f"{c}{suffix}"), "n"
-        )
-        out = attach(out, mine, c, weight="n", max_rows=max_rows).drop("n")
-        out = out.withColumn(f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), F.lit(0)))
-    return out
+    return _add_codes(df, df.filter(train), columns, 1, 0, suffix, max_rows)
 
 
 # ---------------------------------------------------------- target encoding

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from riskfeat.functions.columns import present, with_prefix
 from riskfeat.functions.rows import flag, ratio
 from riskfeat.operators.aggspec import (
-    FULL, ROWS, SHORT, Block, Stat, aggregate_blocks, distinct_counts, join_on_key,
-    numeric_block, stats_of,
+    FULL, ROWS, SHORT, Block, Stat, aggregate_blocks, conditional_blocks, distinct_counts,
+    join_on_key, numeric_block, stats_of,
 )
 from riskfeat.plans import columns as names
 from riskfeat.sources.tables import ENTITY, LOAN
@@ -57,25 +57,25 @@ def recency_gaps(loans: DataFrame, key: str = ENTITY, day: str = "DAYS_CREDIT",
     )
 
 
-def loan_blocks(loans: DataFrame) -> list[Block]:
+def lifetime_block(loans: DataFrame) -> Block:
+    """Every numeric column in full, every status column of the loan rolled up again."""
     numerics = present(loans, names.BUREAU_NUMERICS)
-    rollup = with_prefix(loans, "BUR_BB_")
-    life = [ROWS, *numeric_block(numerics, FULL)]
-    blocks = [
-        Block("BUR", tuple(life)),
-        Block("BUR_ACTIVE", (ROWS, *numeric_block(numerics, SHORT)), F.col("CREDIT_ACTIVE") == "Active"),
-        Block("BUR_CLOSED", (ROWS, *numeric_block(numerics, SHORT)), F.col("CREDIT_ACTIVE") == "Closed"),
+    rollup = [
+        Stat(f"{c.removeprefix('BUR_')}_{fn.upper()}", fn, c)
+        for c in with_prefix(loans, "BUR_BB_") for fn in SHORT
     ]
-    if rollup:
-        second_level = [Stat(f"{c.removeprefix('BUR_')}_{fn.upper()}", fn, c) for c in rollup for fn in SHORT]
-        blocks[0] = Block("BUR", tuple(life + second_level))
-    typed = present(loans, names.CREDIT_TYPE_NUMERICS)
-    blocks += [
-        Block(f"BUR_TYPE_{names.tag(t)}", (ROWS, *numeric_block(typed, ("mean", "max"))),
-              F.col("CREDIT_TYPE") == t)
-        for t in names.CREDIT_TYPES
+    return Block("BUR", (ROWS, *numeric_block(numerics, FULL), *rollup))
+
+
+def strata_blocks(loans: DataFrame) -> list[Block]:
+    numerics = present(loans, names.BUREAU_NUMERICS)
+    by_status = (ROWS, *numeric_block(numerics, SHORT))
+    by_type = (ROWS, *numeric_block(present(loans, names.CREDIT_TYPE_NUMERICS), ("mean", "max")))
+    return [
+        Block("BUR_ACTIVE", by_status, F.col("CREDIT_ACTIVE") == "Active"),
+        Block("BUR_CLOSED", by_status, F.col("CREDIT_ACTIVE") == "Closed"),
+        *[Block(f"BUR_TYPE_{names.tag(t)}", by_type, F.col("CREDIT_TYPE") == t) for t in names.CREDIT_TYPES],
     ]
-    return blocks
 
 
 def cross_ratios(features: DataFrame) -> DataFrame:
@@ -87,10 +87,12 @@ def cross_ratios(features: DataFrame) -> DataFrame:
 
 
 def bureau_features(loans: DataFrame, balance: DataFrame) -> DataFrame:
+    # strata need no balance columns: only the lifetime block pays for that join
     enriched = loans.join(balance_per_loan(balance), LOAN, "left")
     kinds = {f"BUR_CAT_{c}_NUNIQUE": c for c in present(loans, names.BUREAU_CATEGORIES)}
     return cross_ratios(join_on_key([
-        aggregate_blocks(enriched, ENTITY, loan_blocks(enriched)),
+        aggregate_blocks(enriched, ENTITY, [lifetime_block(enriched)]),
+        conditional_blocks(loans, ENTITY, strata_blocks(loans)),
         distinct_counts(loans, ENTITY, kinds),
         recency_gaps(loans),
     ], ENTITY))

@@ -7,8 +7,8 @@ each file another type. Columns a schema does not name can still be read with
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from riskfeat.functions.columns import numeric_columns, present, string_columns
 from riskfeat.functions.rows import finite_or_null
+from riskfeat.operators.lookup import attach
 
 ENTITY = "SK_ID_CURR"
 LABEL = "TARGET"
@@ -34,6 +35,9 @@ PREVIOUS_DAY_COLUMNS = (
 PREVIOUS_TOKEN_COLUMNS = ("NAME_CONTRACT_STATUS", "NAME_CASH_LOAN_PURPOSE", "CODE_REJECT_REASON")
 
 
+HOT_ROWS = 1_000_000
+
+
 @dataclass(frozen=True)
 class Table:
     """One raw table: where it lies, its key types and its cleaning rules."""
@@ -45,7 +49,6 @@ class Table:
     day_columns: tuple[str, ...] = ()
     token_columns: tuple[str, ...] = ()
     partition_key: str = ENTITY
-    extra: Mapping[str, str] = field(default_factory=dict)
 
     def schema(self) -> StructType:
         kinds = [(self.longs, LongType()), (self.strings, StringType()), (self.doubles, DoubleType())]
@@ -208,6 +211,27 @@ def write_table(df: DataFrame, folder: str, name: str) -> str:
     return path
 
 
-def ingest(spark: SparkSession, raw: str, out: str, names: Iterable[str] = tuple(CATALOG)) -> list[str]:
-    """Read, clean and write every raw table; running it again overwrites."""
-    return [write_table(read_raw(spark, raw, n), out, n) for n in names]
+def cluster_rows(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows of a key next to each other, so later aggregates combine before shuffling.
+
+    Scattered rows leave map-side combine nothing to combine, and a wide
+    aggregate would then shuffle one accumulator row per input row. A key with
+    more than ``hot_rows`` rows is spread over several partitions instead of
+    filling one.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
+    spread = attach(df, counts, key, weight="_rows")
+    pieces = F.ceil(F.coalesce(F.col("_rows"), F.lit(1)) / F.lit(hot_rows)).cast("bigint")
+    salted = spread.withColumn("_piece", F.pmod(F.xxhash64(*df.columns), pieces))
+    return salted.repartition(key, "_piece").sortWithinPartitions(key).drop("_rows", "_piece")
+
+
+def ingest(
+    spark: SparkSession, raw: str, out: str, names: Iterable[str] = tuple(CATALOG), cluster: bool = True
+) -> list[str]:
+    """Read, clean, cluster by key and write every raw table; running it again overwrites."""
+    written = []
+    for name in names:
+        df = read_raw(spark, raw, name)
+        written.append(write_table(cluster_rows(df, table(name).partition_key) if cluster else df, out, name))
+    return written

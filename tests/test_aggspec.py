@@ -47,6 +47,14 @@ def test_a_spec_needs_an_unconditional_block(events):
         a.aggregate_blocks(events, "id", blocks()[1:])
 
 
+def test_a_wide_lifetime_block_is_split_off(events):
+    wide = a.Block("L", (a.ROWS, *a.numeric_block(["x", "m"])))
+    slim = a.Block("W", (a.ROWS, *a.numeric_block(["x"], ("mean",))), F.col("m") >= -3)
+    one, two = (a.aggregate_blocks(events, "id", [wide, slim], one_pass_limit=n) for n in (1000, 0))
+    assert one.columns == two.columns and collected(one.drop("L_x_STD", "L_m_STD")) == collected(two.drop("L_x_STD", "L_m_STD"))
+    assert a.conditional_blocks(events, "id", [slim]).count() == 3
+
+
 def test_distinct_counts_count_null_once(spark):
     df = spark.createDataFrame([(1, "a", None), (1, "a", None), (1, "b", "x"), (2, None, None)], "id long, s string, t string")
     out = {r["id"]: (r["S"], r["T"]) for r in a.distinct_counts(df, "id", {"S": "s", "T": "t"}).collect()}

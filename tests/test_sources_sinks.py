@@ -41,6 +41,17 @@ def test_ingest_cleans_and_overwrites(spark, tmp_path):
     assert list(Path(out, "bureau_balance.parquet").glob("*.snappy.parquet"))
 
 
+def test_clustering_keeps_rows_and_spreads_hot_keys(spark):
+    df = spark.range(6000).select((F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 500)).alias("k"), "id").repartition(6)
+    out = tables.cluster_rows(df, "k", hot_rows=100)
+    assert sorted(out.collect()) == sorted(df.collect())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # tiny partitions would be merged
+    where = out.withColumn("p", F.spark_partition_id()).groupBy("k").agg(F.count_distinct("p").alias("places"))
+    places = {r["k"]: r["places"] for r in where.collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert places.pop(-1) > 1 and set(places.values()) == {1}
+
+
 def test_missing_table_is_named(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="bureau"):
         tables.read_table(spark, str(tmp_path), "bureau")
