@@ -83,6 +83,20 @@ def finite_or_null(c: ColumnLike) -> Column:
     return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
 
 
+def quoted(name: str) -> str:
+    return f"`{name}`"
+
+
+def finite_sql(name: str) -> str:
+    """``finite_or_null`` of a column as double, as SQL text.
+
+    Statistics over hundreds of columns are built from text: one parsed
+    expression per column instead of a dozen calls into the JVM.
+    """
+    value = f"cast({quoted(name)} AS double)"
+    return f"CASE WHEN NOT isnan({value}) AND abs({value}) <> double('Infinity') THEN {value} END"
+
+
 def seeded_hash(key: ColumnLike, seed: int) -> Column:
     """Deterministic hex digest used wherever the work needs seeded randomness."""
     return F.md5(F.concat(as_col(key).cast("string"), F.lit(f":{seed}")))

@@ -26,6 +26,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskfeat.functions.rows import quoted
+
 ONE_PASS_LIMIT = 40
 SPLIT_RATIO = 1.5
 _TAG = "_block"
@@ -76,14 +78,10 @@ _SQL = {
 }
 
 
-def _quoted(name: str) -> str:
-    return f"`{name}`"
-
-
 def _plain(stat: Stat, name: str) -> Column:
     """The aggregate over all rows; one parsed expression keeps wide plans quick to build."""
-    value = "" if stat.column is None else _quoted(stat.column)
-    return F.expr(f"{_SQL[stat.fn].format(c=value)} AS {_quoted(name)}")
+    value = "" if stat.column is None else quoted(stat.column)
+    return F.expr(f"{_SQL[stat.fn].format(c=value)} AS {quoted(name)}")
 
 
 def _guarded(stat: Stat, where: Column) -> Column:
@@ -125,8 +123,8 @@ def _tagged(df: DataFrame, keys: Sequence[str], blocks: Sequence[Block]) -> Data
     for i, b in enumerate(blocks):
         fields = ", ".join(dict.fromkeys(wanted[s.fn, s.column] for s in b.stats))
         folds.append(F.expr(f"max_by(struct({fields}), CASE WHEN {_TAG} = {i} THEN 1 END) AS b{i}"))
-    return by_block.groupBy(*keys).agg(*folds).selectExpr(*map(_quoted, keys), *[
-        f"b{i}.{wanted[s.fn, s.column]} AS {_quoted(b.name(s))}"
+    return by_block.groupBy(*keys).agg(*folds).selectExpr(*map(quoted, keys), *[
+        f"b{i}.{wanted[s.fn, s.column]} AS {quoted(b.name(s))}"
         for i, b in enumerate(blocks) for s in b.stats
     ])
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from riskfeat.functions.columns import numeric_columns
-from riskfeat.functions.rows import finite_or_null, inverse_normal, is_null_flag
+from riskfeat.functions.rows import finite_sql, inverse_normal, quoted
 from riskfeat.operators.lookup import BROADCAST_ROWS, attach, collect_bounded
 from riskfeat.operators.rank import ordinals
 
@@ -253,9 +253,8 @@ def medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000, chunk
     """Approximate medians; 0 for a column without a value."""
     out: dict[str, float] = {}
     for part in _chunks(columns, chunk):
-        row = df.agg(*[
-            F.percentile_approx(finite_or_null(F.col(c).cast("double")), 0.5, accuracy).alias(f"m{i}")
-            for i, c in enumerate(part)
+        row = df.selectExpr(*[
+            f"percentile_approx({finite_sql(c)}, 0.5, {accuracy}) AS m{i}" for i, c in enumerate(part)
         ]).first()
         out.update({c: 0.0 if row[f"m{i}"] is None else float(row[f"m{i}"]) for i, c in enumerate(part)})
     return out
@@ -263,9 +262,8 @@ def medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000, chunk
 
 def fill_values(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
     """Missing and non-finite entries replaced by the given value of their column."""
-    return df.select(*[
-        F.coalesce(finite_or_null(F.col(c).cast("double")), F.lit(float(values[c]))).alias(c)
-        if c in values else F.col(c)
+    return df.selectExpr(*[
+        f"coalesce({finite_sql(c)}, double('{float(values[c])!r}')) AS {quoted(c)}" if c in values else quoted(c)
         for c in df.columns
     ])
 
@@ -279,7 +277,7 @@ def median_impute(
 
 
 def null_flags(df: DataFrame, columns: Iterable[str], suffix: str = NULL_FLAG) -> DataFrame:
-    return df.select("*", *[is_null_flag(c).alias(f"{c}{suffix}") for c in columns])
+    return df.selectExpr("*", *[f"cast({quoted(c)} IS NULL AS int) AS {quoted(c + suffix)}" for c in columns])
 
 
 def standardize(df: DataFrame, columns: Sequence[str], train: Column | None = None) -> DataFrame:

@@ -7,39 +7,40 @@ once and each aggregate stays narrow.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskfeat.functions.columns import numeric_columns, string_columns
+from riskfeat.functions.rows import finite_sql, quoted
 from riskfeat.operators.rank import exact_quantiles, roc_auc
 
 CHUNK = 100
 
 
-def _per_column(df: DataFrame, columns: Sequence[str], measures: dict[str, object], chunk: int = CHUNK) -> DataFrame:
-    """One row per column: ``measures`` maps a result name to ``column -> aggregate``."""
-    parts = []
+def _per_column(df: DataFrame, columns: Sequence[str], measures: Mapping[str, str], chunk: int = CHUNK) -> DataFrame:
+    """One row per column; ``measures`` maps a result name to SQL text over ``{c}``.
+
+    The statistics of a chunk come back as one row, a few numbers per column.
+    """
+    rows: list[tuple] = []
+    kinds: dict[str, str] = {}
     for start in range(0, len(columns), chunk):
         part = columns[start:start + chunk]
-        wide = df.agg(*[
-            make(c).alias(f"{m}_{i}") for i, c in enumerate(part) for m, make in measures.items()
+        wide = df.selectExpr(*[
+            f"{text.format(c=quoted(c))} AS {m}_{i}" for i, c in enumerate(part) for m, text in measures.items()
         ])
-        parts.append(wide.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), *[F.col(f"{m}_{i}").alias(m) for m in measures])
-            for i, c in enumerate(part)
-        ])).alias("r")).select("r.*"))
-    return reduce(DataFrame.unionAll, parts)
+        kinds = {m: wide.schema[f"{m}_0"].dataType.simpleString() for m in measures}
+        row = wide.first()
+        rows += [(c, *[row[f"{m}_{i}"] for m in measures]) for i, c in enumerate(part)]
+    schema = "column string" + "".join(f", {m} {kinds.get(m, 'double')}" for m in measures)
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def null_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     columns = df.columns if columns is None else columns
-    counted = _per_column(df, columns, {
-        "n_null": lambda c: F.count_if(F.col(c).isNull()),
-        "n": lambda c: F.count(F.lit(1)),
-    })
+    counted = _per_column(df, columns, {"n_null": "count_if({c} IS NULL)", "n": "count(1)"})
     return counted.select(
         "column", "n_null", F.try_divide(F.col("n_null"), F.col("n").cast("double")).alias("null_rate")
     )
@@ -47,14 +48,13 @@ def null_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 
 def variances(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     columns = numeric_columns(df) if columns is None else columns
-    return _per_column(df, columns, {"variance": lambda c: F.var_samp(F.col(c).cast("double"))})
+    return _per_column(df, columns, {"variance": "var_samp(cast({c} AS double))"})
 
 
 def sentinel_rates(df: DataFrame, columns: Sequence[str], sentinel: float) -> DataFrame:
-    hit = lambda c: F.col(c) == F.lit(sentinel)
     return _per_column(df, columns, {
-        "n_sentinel": lambda c: F.count_if(hit(c)),
-        "rate": lambda c: F.avg(F.coalesce(hit(c), F.lit(False)).cast("int")),
+        "n_sentinel": f"count_if({{c}} = {sentinel})",
+        "rate": f"avg(cast(coalesce({{c}} = {sentinel}, false) AS int))",
     })
 
 
@@ -63,7 +63,7 @@ def cardinality(df: DataFrame, columns: Sequence[str] | None = None, approximate
     columns = string_columns(df) if columns is None else columns
     if approximate:
         return _per_column(df, columns, {
-            "n_unique": lambda c: F.approx_count_distinct(c) + F.max(F.col(c).isNull().cast("int"))
+            "n_unique": "approx_count_distinct({c}) + max(cast({c} IS NULL AS int))"
         })
     pairs = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns
@@ -87,8 +87,9 @@ def quantile_report(df: DataFrame, column: str, fractions: Sequence[float], outl
 
 
 def approx_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> DataFrame:
+    listed = ", ".join(str(float(f)) for f in fractions)
     return _per_column(df, columns, {
-        "quantiles": lambda c: F.percentile_approx(F.col(c).cast("double"), F.lit(list(fractions)), 10_000)
+        "quantiles": f"percentile_approx(cast({{c}} AS double), array({listed}), 10000)"
     })
 
 
@@ -96,7 +97,7 @@ def label_correlations(df: DataFrame, label: str, columns: Sequence[str] | None
     """Pearson correlation of every numeric column with the label, strongest first."""
     columns = numeric_columns(df, {label}) if columns is None else columns
     table = _per_column(df, columns, {
-        "corr": lambda c: F.corr(F.col(c).cast("double"), F.col(label).cast("double"))
+        "corr": f"corr(cast({{c}} AS double), cast({quoted(label)} AS double))"
     })
     return table.withColumn("abs_corr", F.abs("corr")).orderBy(F.col("abs_corr").desc_nulls_last(), "column")
 
@@ -117,11 +118,9 @@ def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) ->
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """Long form ``(keep..., column, value)`` of numeric columns."""
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
-    ])
-    return df.select(*keep, F.explode(pairs).alias("p")).select(*keep, "p.column", "p.value")
+    """Long form ``(keep..., column, value)`` of numeric columns, without missing values."""
+    doubles = df.selectExpr(*map(quoted, keep), *[f"{finite_sql(c)} AS {quoted(c)}" for c in columns])
+    return doubles.unpivot(list(keep), list(columns), "column", "value").filter("value IS NOT NULL")
 
 
 def univariate_auc(
@@ -132,7 +131,7 @@ def univariate_auc(
     0.5 where fewer than ``min_rows`` rows carry a value or one class is
     missing; ``suspicious`` marks columns that may leak the label.
     """
-    long = unpivot(df.filter(F.col(label).isNotNull()), columns, [label]).withColumn("value", F.nanvl("value", F.lit(None)))
+    long = unpivot(df.filter(F.col(label).isNotNull()), columns, [label])
     scored = roc_auc(long, "value", label, by="column")
     usable = (F.col("n") >= min_rows) & F.col("auc").isNotNull()
     auc = F.when(usable, F.greatest("auc", 1.0 - F.col("auc"))).otherwise(F.lit(0.5))

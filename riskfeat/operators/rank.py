@@ -16,28 +16,63 @@ from pyspark.sql import functions as F
 from riskfeat.operators.lookup import attach, collect_bounded
 
 MAX_GROUPS = 10_000
-BUCKETS = 64
+BUCKETS = 1_024
+ROWS_PER_BUCKET = 250_000
+_BLOCK = 32
 
 
 def _group_list(by: str | Sequence[str]) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
+def _blocks(cuts: Sequence[float], rows: int, buckets: int) -> tuple[list[float], list[list[float]]]:
+    """The cuts a group of ``rows`` rows needs, in blocks, and the last cut of each block."""
+    wanted = min(buckets, -(-rows // ROWS_PER_BUCKET))
+    if wanted <= 1:
+        return [], []
+    spaced = [cuts[i * len(cuts) // wanted] for i in range(1, wanted)]
+    kept = sorted({float(c) for c in spaced})
+    blocks = [kept[i:i + _BLOCK] for i in range(0, len(kept), _BLOCK)]
+    return [b[-1] for b in blocks], blocks
+
+
+def _cuts_below(value: str, ends: Column, blocks: Column) -> Column:
+    """How many cuts lie below the value: first whole blocks, then inside one."""
+    passed = F.size(F.filter(ends, lambda c: c < F.col(value)))
+    inside = F.size(F.filter(F.get(blocks, passed), lambda c: c < F.col(value)))
+    return passed * _BLOCK + F.coalesce(F.when(passed < F.size(blocks), inside), F.lit(0))
+
+
 def _with_bucket(df: DataFrame, source: DataFrame, value: str, by: list[str], buckets: int) -> DataFrame:
-    """Add ``_bucket``: how many approximate quantiles of ``source`` lie below the value."""
-    fractions = F.lit([i / buckets for i in range(1, buckets)])
-    sketch = F.percentile_approx(value, fractions, 10_000).alias("_cuts")
-    if by:
-        cuts = source.groupBy(*by).agg(sketch)
-        rows = collect_bounded(cuts, MAX_GROUPS)
-        if rows is not None:
-            cuts = F.broadcast(df.sparkSession.createDataFrame(rows, cuts.schema))
-        df = df.join(cuts, by)
-        below = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-        return df.withColumn("_bucket", below).drop("_cuts")
-    found = source.agg(sketch).first()[0]
-    cuts = F.lit(sorted(set(found))) if found else F.array().cast("array<double>")
-    return df.withColumn("_bucket", F.size(F.filter(cuts, lambda c: c < F.col(value))))
+    """Add ``_bucket``, a monotone function of the value per group.
+
+    Groups are cut at approximate quantiles of ``source``, the finer the more
+    rows they have; what fits one task is not cut at all.
+    """
+    steps = min(buckets, BUCKETS if not by else 256)
+    fractions = F.lit([i / steps for i in range(steps)])
+    measured = [F.count(value).alias("_rows"), F.percentile_approx(value, fractions, 10_000).alias("_cuts")]
+    sketch = source.groupBy(*by).agg(*measured) if by else source.agg(*measured)
+    rows = collect_bounded(sketch, MAX_GROUPS)
+    if rows is None:
+        # more groups than the driver should see: every group is cut, the cuts travel by join
+        starts = F.sequence(F.lit(1), F.lit(steps), F.lit(_BLOCK))
+        nested = sketch.select(*by, "_rows", F.transform(starts, lambda i: F.slice("_cuts", i, _BLOCK)).alias("_blocks"))
+        ended = nested.withColumn("_ends", F.transform("_blocks", lambda b: F.element_at(b, -1)))
+        known = attach(df, ended, by, weight="_rows", max_rows=0)
+        bucket = _cuts_below(value, F.col("_ends"), F.col("_blocks"))
+        return known.withColumn("_bucket", bucket).drop("_ends", "_blocks", "_rows")
+    made = [(*[r[c] for c in by], *_blocks(r["_cuts"], r["_rows"], steps)) for r in rows if r["_cuts"]]
+    if not any(m[-1] for m in made):
+        return df.withColumn("_bucket", F.lit(0))
+    if not by:
+        ends, blocks = made[0][-2:]
+        nested = F.array(*[F.lit(b) for b in blocks])
+        return df.withColumn("_bucket", _cuts_below(value, F.lit(ends), nested))
+    kinds = "".join(f"`{c}` {source.schema[c].dataType.simpleString()}, " for c in by)
+    table = df.sparkSession.createDataFrame(made, f"{kinds}_ends array<double>, _blocks array<array<double>>")
+    known = df.join(F.broadcast(table), by)
+    return known.withColumn("_bucket", _cuts_below(value, F.col("_ends"), F.col("_blocks"))).drop("_ends", "_blocks")
 
 
 def _before(by: list[str]) -> Window:

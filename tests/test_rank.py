@@ -24,15 +24,20 @@ def brute_auc(v, y):
     return ((p[:, None] > n).sum() + 0.5 * (p[:, None] == n).sum()) / (len(p) * len(n))
 
 
+@pytest.fixture(params=[250_000, 100, 7], autouse=True)
+def rows_per_bucket(request, monkeypatch):
+    """One bucket, some buckets, several blocks of buckets."""
+    monkeypatch.setattr(rank, "ROWS_PER_BUCKET", request.param)
+
+
 RNG = np.random.default_rng(0)
 TIED = np.where(RNG.random(3000) < 0.4, 0.25, RNG.integers(0, 400, 3000) / 400)  # a hot value
 LABELS = (RNG.random(3000) < 0.2 + 0.3 * TIED).astype(int)
 GROUPS = RNG.integers(0, 3, 3000)
 
 
-@pytest.mark.parametrize("buckets", [2, 64])
-def test_rank_normalize(spark, buckets):
-    out = rank.rank_normalize(frame(spark, TIED), "v", buckets=buckets).orderBy("id").collect()
+def test_rank_normalize(spark):
+    out = rank.rank_normalize(frame(spark, TIED), "v").orderBy("id").collect()
     assert [r["rank"] for r in out] == pytest.approx((average_rank(TIED) - 1) / (len(TIED) - 1))
 
 
@@ -42,9 +47,8 @@ def test_rank_per_group(spark):
     assert out["rank"].to_numpy() == pytest.approx(expected.to_numpy())
 
 
-@pytest.mark.parametrize("buckets", [2, 64])
-def test_roc_auc(spark, buckets):
-    row = rank.roc_auc(frame(spark, TIED, LABELS), "v", "y", buckets=buckets).first()
+def test_roc_auc(spark):
+    row = rank.roc_auc(frame(spark, TIED, LABELS), "v", "y").first()
     assert row["auc"] == pytest.approx(brute_auc(TIED, LABELS)) and row["n"] == 3000
 
 
@@ -63,7 +67,7 @@ def test_auc_known_value_and_missing_class(spark):
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.sampled_from([-1e9, -1.0, -0.0, 0.0, 0.5, 2.0, 1e9]), min_size=2, max_size=25))
 def test_quantiles_match_numpy(spark, values):
-    row = rank.exact_quantiles(frame(spark, values), "v", (0.0, 0.3, 0.5, 1.0), buckets=4).first()
+    row = rank.exact_quantiles(frame(spark, values), "v", (0.0, 0.3, 0.5, 1.0)).first()
     assert list(row) == pytest.approx(list(np.quantile(values, (0.0, 0.3, 0.5, 1.0))))
 
 
@@ -75,8 +79,17 @@ def test_ordinals_are_a_permutation_in_order(spark):
         assert part.sort_values("ordinal")["h"].is_monotonic_increasing
 
 
-def test_no_window_without_keys(spark):
-    plan = rank.roc_auc(frame(spark, TIED[:50], LABELS[:50]), "v", "y")._jdf.queryExecution().executedPlan().toString()
+def test_many_groups_need_no_cuts(spark, monkeypatch):
+    monkeypatch.setattr(rank, "MAX_GROUPS", 2)
+    out = {r["g"]: r["auc"] for r in rank.roc_auc(frame(spark, TIED, LABELS, GROUPS), "v", "y", by="g").collect()}
+    assert out["1"] == pytest.approx(brute_auc(TIED[GROUPS == 1], LABELS[GROUPS == 1]))
+
+
+def test_rows_are_never_ordered_in_one_task(spark):
+    """Beyond the size one task is given, every window has a bucket among its keys."""
+    if rank.ROWS_PER_BUCKET > 3000:
+        return
+    plan = rank.rank_normalize(frame(spark, TIED), "v")._jdf.queryExecution().optimizedPlan().toString()
     for line in plan.splitlines():
-        if "Window [" in line:
-            assert "windowspecdefinition(_bucket" in line or "_sum" in line or "sum(" in line
+        if "Window [" in line and "_rows" not in line:
+            assert "_bucket#" in line
