@@ -8,6 +8,7 @@ aggregate: the total minus the fold's own part.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -19,6 +20,7 @@ from riskfeat.functions.columns import numeric_columns
 from riskfeat.functions.rows import finite_sql, inverse_normal, quoted
 from riskfeat.operators.lookup import BROADCAST_ROWS, attach, collect_bounded
 from riskfeat.operators.rank import ordinals
+from riskfeat.session import cut_lineage
 
 NULL_FLAG = "__isnan"
 CODE = "__nn"
@@ -164,8 +166,26 @@ def train_fold_codes(
 # ---------------------------------------------------------- target encoding
 
 
+def fold_counts(df: DataFrame, label: str, fold: str, folds: int) -> list[tuple[int, int]]:
+    """Labelled rows and positives outside each fold."""
+    own = {
+        r[fold]: (r["n"], r["pos"])
+        for r in df.filter(F.col(label).isNotNull()).groupBy(fold).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos")
+        ).collect()
+    }
+    n, pos = sum(v[0] for v in own.values()), sum(v[1] for v in own.values())
+    mine = [own.get(f, (0, 0)) for f in range(folds)]
+    return [(n - fn, pos - fp) for fn, fp in mine]
+
+
+def fold_means(counts: Sequence[tuple[int, int]]) -> list[float]:
+    return [pos / n if n else 0.0 for n, pos in counts]
+
+
 def target_encodings(
-    df: DataFrame, column: str, label: str, fold: str, folds: int, smoothing: float = 10.0
+    df: DataFrame, column: str, label: str, fold: str, folds: int, smoothing: float = 10.0,
+    counts: Sequence[tuple[int, int]] | None = None,
 ) -> DataFrame:
     """``(column, rows, enc)``: per category its encoding in every fold context.
 
@@ -173,15 +193,10 @@ def target_encodings(
     ``(positives + m * mean) / (rows + m)``. A category that occurs in fold
     ``f`` alone comes out as the mean of the other folds, as it should.
     """
+    means = fold_means(counts or fold_counts(df, label, fold, folds))
     rows = df.filter(F.col(label).isNotNull()).select(
         column, fold, F.col(label).cast("bigint").alias("_y")
     )
-    per_fold = {
-        r[fold]: (r["n"], r["pos"])
-        for r in rows.groupBy(fold).agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("pos")).collect()
-    }
-    all_n = sum(n for n, _ in per_fold.values())
-    all_pos = sum(p for _, p in per_fold.values())
     own_n = [F.count(F.when(F.col(fold) == f, F.lit(1))).alias(f"_n{f}") for f in range(folds)]
     own_pos = [
         F.coalesce(F.sum(F.when(F.col(fold) == f, F.col("_y"))), F.lit(0)).alias(f"_p{f}")
@@ -190,55 +205,62 @@ def target_encodings(
     sums = rows.groupBy(column).agg(
         F.count(F.lit(1)).alias("rows"), F.sum("_y").alias("pos"), *own_n, *own_pos
     )
-    contexts = []
-    for f in range(folds):
-        n, pos = per_fold.get(f, (0, 0))
-        mean = (all_pos - pos) / (all_n - n) if all_n > n else 0.0
-        contexts.append(
-            (F.col("pos") - F.col(f"_p{f}") + F.lit(smoothing * mean))
-            / (F.col("rows") - F.col(f"_n{f}") + F.lit(smoothing))
-        )
+    contexts = [
+        (F.col("pos") - F.col(f"_p{f}") + F.lit(smoothing * mean))
+        / (F.col("rows") - F.col(f"_n{f}") + F.lit(smoothing))
+        for f, mean in enumerate(means)
+    ]
     return sums.select(column, "rows", F.array(*contexts).alias("enc"))
 
 
-def _fold_means(df: DataFrame, label: str, fold: str, folds: int) -> list[float]:
-    """Mean label outside each fold."""
-    sums = df.filter(F.col(label).isNotNull()).groupBy(fold).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos")
-    ).collect()
-    n, pos = sum(r["n"] for r in sums), sum(r["pos"] for r in sums)
-    own = {r[fold]: (r["n"], r["pos"]) for r in sums}
-    out = []
-    for f in range(folds):
-        fn, fp = own.get(f, (0, 0))
-        out.append((pos - fp) / (n - fn) if n > fn else 0.0)
-    return out
+@dataclass(frozen=True)
+class TargetEncoder:
+    """Fitted encodings of some columns in every fold context."""
+
+    tables: Mapping[str, DataFrame]
+    means: Sequence[float]
+    fold: str
+    max_rows: int = BROADCAST_ROWS
+
+    def apply(self, df: DataFrame, context: int | None = None) -> DataFrame:
+        """Add ``<column>_TE``.
+
+        Without ``context`` a labelled row gets the encoding of its own fold's
+        context (out of fold) and a row without fold the mean over all
+        contexts. With ``context=f`` every row gets the encoding fitted
+        outside fold ``f``: the columns a model for that fold trains on.
+        """
+        out = df
+        for c, table in self.tables.items():
+            out = attach(out, table, c, weight="rows", null_safe=True, max_rows=self.max_rows)
+            enc = F.coalesce(F.col("enc"), F.lit(list(self.means)))
+            if context is not None:
+                value = enc[context]
+            else:
+                average = F.aggregate(enc, F.lit(0.0), lambda a, x: a + x) / F.lit(float(len(self.means)))
+                value = F.when(F.col(self.fold).isNull(), average).otherwise(F.get(enc, F.col(self.fold)))
+            out = out.withColumn(f"{c}_TE", value).drop("enc", "rows")
+        return out
+
+
+def fit_target_encoder(
+    df: DataFrame, columns: Sequence[str], label: str, fold: str, folds: int = 5,
+    smoothing: float = 10.0, max_rows: int = BROADCAST_ROWS,
+) -> TargetEncoder:
+    """All columns and all fold contexts, written out once for every later use."""
+    counts = fold_counts(df, label, fold, folds)
+    tables = {
+        c: cut_lineage(target_encodings(df, c, label, fold, folds, smoothing, counts)) for c in columns
+    }
+    return TargetEncoder(tables, fold_means(counts), fold, max_rows)
 
 
 def target_encode(
     df: DataFrame, columns: Sequence[str], label: str, fold: str, folds: int = 5,
     smoothing: float = 10.0, context: int | None = None, max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Add ``<column>_TE``.
-
-    Without ``context`` a labelled row gets the encoding of its own fold's
-    context (out of fold) and a row without fold the mean over all contexts.
-    With ``context=f`` every row gets the encoding fitted outside fold ``f``:
-    the columns a model for that fold trains on.
-    """
-    means = F.lit(_fold_means(df, label, fold, folds))
-    out = df
-    for c in columns:
-        table = target_encodings(df, c, label, fold, folds, smoothing)
-        out = attach(out, table, c, weight="rows", null_safe=True, max_rows=max_rows)
-        enc = F.coalesce(F.col("enc"), means)
-        if context is not None:
-            value = enc[context]
-        else:
-            average = F.aggregate(enc, F.lit(0.0), lambda a, x: a + x) / F.lit(float(folds))
-            value = F.when(F.col(fold).isNull(), average).otherwise(F.get(enc, F.col(fold)))
-        out = out.withColumn(f"{c}_TE", value).drop("enc", "rows")
-    return out
+    """Fit and apply in one step; see ``TargetEncoder.apply``."""
+    return fit_target_encoder(df, columns, label, fold, folds, smoothing, max_rows).apply(df, context)
 
 
 # ------------------------------------------------------- numeric transforms

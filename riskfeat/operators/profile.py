@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskfeat.functions.columns import numeric_columns, string_columns
@@ -145,3 +145,36 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), rate.alias("pos_rate"),
         F.try_divide(1.0 - rate, rate).alias("balance_weight"),
     )
+
+
+# ------------------------------------------------ drift and calibration reports
+
+
+def population_stability(df: DataFrame, column: str, is_new: Column, bins: int = 10) -> DataFrame:
+    """Shares per reference-quantile bin of old and new rows, with the stability index parts.
+
+    The index is the sum of ``part``; a bin empty on one side counts as one
+    ten-thousandth.
+    """
+    old = df.filter(~is_new)
+    fractions = ", ".join(str(i / bins) for i in range(1, bins))
+    cuts = old.selectExpr(f"percentile_approx({quoted(column)}, array({fractions}), 10000) AS c").first()["c"]
+    bin_of = F.size(F.filter(F.lit([float(c) for c in cuts]), lambda c: c < F.col(column)))
+    counts = df.filter(F.col(column).isNotNull()).groupBy(bin_of.cast("int").alias("bin")).agg(
+        F.count_if(~is_new).alias("old"), F.count_if(is_new).alias("new")
+    )
+    both = Window.partitionBy(F.lit(0))  # one row per bin
+    shares = counts.select("bin", *[
+        F.greatest(F.try_divide(F.col(c).cast("double"), F.sum(c).over(both)), F.lit(1e-4)).alias(c)
+        for c in ("old", "new")
+    ])
+    return shares.withColumn("part", (F.col("new") - F.col("old")) * F.ln(F.col("new") / F.col("old")))
+
+
+def calibration(df: DataFrame, score: str, label: str, bins: int = 10) -> DataFrame:
+    """Mean score against positive share per equal-width score bin."""
+    bin_of = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int")
+    return df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(bin_of.alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(score).alias("mean_score"),
+        F.avg(F.col(label).cast("double")).alias("pos_rate"),
+    )

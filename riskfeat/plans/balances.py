@@ -66,3 +66,12 @@ def card_features(balances: DataFrame) -> DataFrame:
         if column in rows.columns:
             stats += flag_stats(column, label)
     return aggregate_blocks(rows, ENTITY, month_blocks("CC", tuple(stats)))
+
+
+def recency_weighted_lateness(balances: DataFrame, key: str = ENTITY, prefix: str = "POS") -> DataFrame:
+    """Mean days past due with weight ``1 / (1 - month)``: the current month counts most."""
+    weight = 1.0 / (1.0 - F.col("MONTHS_BALANCE"))
+    known = F.when(F.col("SK_DPD").isNotNull(), weight)
+    return balances.groupBy(key).agg(
+        F.try_divide(F.sum(F.col("SK_DPD") * weight), F.sum(known)).alias(f"{prefix}_SK_DPD_RECENCY_WEIGHTED")
+    )

@@ -12,7 +12,7 @@ from riskfeat.plans.assemble import join_features
 from riskfeat.plans.auxiliary import rollup_predictions
 from riskfeat.plans.ensemble import rank_blend, wide_predictions
 from riskfeat.plans.installments import installments_features
-from riskfeat.plans.balances import pos_features
+from riskfeat.plans.balances import pos_features, recency_weighted_lateness
 from riskfeat.sources.sinks import constant_scores, fold_table, mean_over_folds, scored_rows
 from riskfeat.sources.tables import CATALOG, clean
 from testbed.feature_queries import _PAYMENT_CTES, _PAYMENT_STATS, block_sql, cleaned_sql
@@ -521,3 +521,33 @@ def scored_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 def constant_score_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, score = folds.split_by_label(application(spark, sf_dir), "TARGET")
     return constant_scores(score, 0.0807)
+
+
+# ----------------------------------------------------- drift, calibration, recency
+
+
+@query("WITH d AS (SELECT n_chars AS v, doc_id NOT IN (SELECT doc_id FROM labels) AS fresh FROM documents), "
+       "c AS (SELECT " + ", ".join(f"quantile_disc(v, {i / 10}) AS c{i}" for i in range(1, 10)) + " FROM d WHERE NOT fresh), "
+       "b AS (SELECT CAST(" + " + ".join(f"CAST(c{i} < v AS INT)" for i in range(1, 10)) + " AS INT) AS bin, "
+       "greatest(count(*) FILTER (NOT fresh) / sum(count(*) FILTER (NOT fresh)) OVER (), 1e-4) AS old, "
+       "greatest(count(*) FILTER (fresh) / sum(count(*) FILTER (fresh)) OVER (), 1e-4) AS new FROM d, c GROUP BY 1) "
+       "SELECT bin, round(old, 6) + 0.0 AS old, round(new, 6) + 0.0 AS new, round((new - old) * ln(new / old), 6) + 0.0 AS part FROM b")
+def drift_of_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = load(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("known"))
+    docs = load(spark, sf_dir, "documents").select("doc_id", "n_chars").join(labels, "doc_id", "left")
+    return rounded(profile.population_stability(docs, "n_chars", F.col("known").isNull()))
+
+
+@query("SELECT CAST(least(floor(s * 10), 9) AS INT) AS bin, count(*) AS n, round(avg(s), 6) + 0.0 AS mean_score, "
+       "round(avg(y), 6) + 0.0 AS pos_rate FROM (SELECT o_totalprice / 499979 AS s, CAST(o_orderstatus = 'F' AS INT) AS y FROM orders) GROUP BY 1")
+def score_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "orders").select(
+        (F.col("o_totalprice") / 499979).alias("s"), (F.col("o_orderstatus") == "F").cast("int").alias("y"))
+    return rounded(profile.calibration(rows, "s", "y"))
+
+
+@query(with_ctes([("pos", role_sql("pos_cash_balance"))], f"SELECT {ID}, " + rounded_sql(
+    "sum(SK_DPD / (1 - MONTHS_BALANCE)) / nullif(sum(1 / (1 - MONTHS_BALANCE)), 0)", "POS_SK_DPD_RECENCY_WEIGHTED")
+    + f" FROM pos GROUP BY {ID}"))
+def recency_weighted_dpd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(recency_weighted_lateness(role(spark, sf_dir, "pos_cash_balance")))
