@@ -8,6 +8,7 @@ once and each aggregate stays narrow.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -131,8 +132,12 @@ def univariate_auc(
     0.5 where fewer than ``min_rows`` rows carry a value or one class is
     missing; ``suspicious`` marks columns that may leak the label.
     """
-    long = unpivot(df.filter(F.col(label).isNotNull()), columns, [label])
-    scored = roc_auc(long, "value", label, by="column")
+    labelled = df.filter(F.col(label).isNotNull())
+    parts = [
+        roc_auc(unpivot(labelled, columns[i:i + CHUNK], [label]), "value", label, by="column")
+        for i in range(0, len(columns), CHUNK)
+    ]
+    scored = reduce(DataFrame.unionByName, parts)
     usable = (F.col("n") >= min_rows) & F.col("auc").isNotNull()
     auc = F.when(usable, F.greatest("auc", 1.0 - F.col("auc"))).otherwise(F.lit(0.5))
     return scored.select("column", auc.alias("auc"), (auc > suspicious).cast("int").alias("suspicious"))
