@@ -57,6 +57,15 @@ def running_total(
     return joined.select(*rows.columns, (F.col(name) + F.col("_before")).alias(name))
 
 
+def stretched(rows: DataFrame, order: Sequence[str], name: str = "_stretch") -> DataFrame:
+    """``rows`` range-sorted over the partitions; ``name`` numbers the partitions in order.
+
+    The result is written, because the bounds of the ranges are sampled: what
+    reads it twice has to see the same numbers.
+    """
+    return cut_lineage(rows.repartitionByRange(*order).withColumn(name, F.spark_partition_id()))
+
+
 # ---------------------------------------------------------------- bucket tiles
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import simhash
+from riskfeat.llm import mixing, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,3 +29,12 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return classes.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_mixing_to_target_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = mixing.document_sizes(table(spark, sf_dir, "documents"))
+    return mixing.mix(sizes).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op8_mixing_to_target_weights"] = mixing.SQL
