@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import mixing, simhash
+from riskfeat.llm import mixing, privacy, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,3 +38,10 @@ def op8_mixing_to_target_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op8_mixing_to_target_weights"] = mixing.SQL
+
+
+@query
+def op1_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = privacy.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *[f"found.{c}" for c in (
+        "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_term")])
