@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import mixing, privacy, simhash
+from riskfeat.llm import bytepair, mixing, privacy, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,3 +45,9 @@ def op1_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = privacy.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", *[f"found.{c}" for c in (
         "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_term")])
+
+
+@query
+def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", bytepair.digests().alias("d"))
+    return docs.select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
