@@ -8,7 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskfeat.llm import simhash
+from riskfeat.llm import bytepair, mixing, privacy, quality, simhash
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the additive model rejects go; it learns from the labels of ``docs``."""
+    return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,7 +21,28 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.first_of_group(docs)
 
 
-STAGES = [("simhash near-dedup", near_dedup)]
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and terms that give it away are replaced in the texts."""
+    return privacy.cleaned(docs)
+
+
+def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.mixed(docs)
+
+
+def to_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids, little-endian unsigned 32-bit integers, in place of the texts."""
+    return bytepair.encoded(docs)
+
+
+STAGES = [
+    ("quality classifier", good_quality),
+    ("simhash near-dedup", near_dedup),
+    ("personal data", without_personal_data),
+    ("mixing to target weights", to_target_weights),
+    ("byte-level bpe", to_token_ids),
+]
 ORACLE_SQL = None
 
 

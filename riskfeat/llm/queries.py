@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import bytepair, mixing, privacy, simhash
+from riskfeat.llm import bytepair, mixing, privacy, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,3 +51,12 @@ def op1_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", bytepair.digests().alias("d"))
     return docs.select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
+
+
+@query
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score",
+        (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
