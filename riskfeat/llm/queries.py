@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import bytepair, mixing, privacy, quality, simhash
+from riskfeat.llm import bytepair, language, mixing, privacy, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,3 +60,11 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, model).select(
         "doc_id", quality.held_out().alias("held_out"), "score",
         (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
+
+
+@query
+def op2_language_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.profiles(docs.where(~language.held_out()))
+    guess = language.predicted(docs.select("doc_id", "text"), found)
+    return guess.select("doc_id", language.held_out().alias("held_out"), "guess.lang_pred", "guess.score")
