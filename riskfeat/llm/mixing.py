@@ -23,7 +23,7 @@ from riskfeat.session import cut_lineage
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
 SEED = 42
-ROWS_A_STRETCH = 100_000
+ROWS_A_STRETCH = 5_000
 
 
 def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import bytepair, language, mixing, privacy, quality, simhash
+from riskfeat.llm import bytepair, language, mixing, privacy, quality, rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,3 +68,12 @@ def op2_language_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.profiles(docs.where(~language.held_out()))
     guess = language.predicted(docs.select("doc_id", "text"), found)
     return guess.select("doc_id", language.held_out().alias("held_out"), "guess.lang_pred", "guess.score")
+
+
+@query
+def op10_adaptive_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLES["op10_adaptive_quality_rules"] = rules.SQL
