@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import bytepair, language, mixing, privacy, quality, rules, simhash
+from riskfeat.llm import bytepair, language, mixing, privacy, quality, rules, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,3 +77,8 @@ def op10_adaptive_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_adaptive_quality_rules"] = rules.SQL
+
+
+@query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
