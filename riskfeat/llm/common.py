@@ -89,6 +89,24 @@ def tiled(rows: DataFrame, key: str, sizes: DataFrame, member: Column, limit: in
     return known.withColumn("tile", F.explode(tiles)).drop("_pieces")
 
 
+def paired(rows: DataFrame, key: str, sizes: DataFrame, member: Column, limit: int = TILE) -> DataFrame:
+    """Like ``tiled`` for pairs among equals: columns tile, _piece and _same are added.
+
+    A key of p pieces gets the tiles (i, j) with i <= j. Two rows of different
+    pieces meet only where their pieces cross, two rows of one piece are to be
+    paired only where ``_same`` holds.
+    """
+    hot = sizes.where(F.col("n") > limit).select(
+        key, F.ceil(F.col("n") / limit).cast("int").alias("_pieces"))
+    known = attach(rows, hot, key).withColumn("_piece", F.coalesce(
+        F.pmod(F.xxhash64(member), F.col("_pieces")).cast("int"), F.lit(0)))
+    pieces, own = F.coalesce("_pieces", F.lit(1)), F.col("_piece")
+    tiles = F.transform(F.sequence(F.lit(0), pieces - 1), lambda j: F.struct(
+        (F.least(own, j) * pieces + F.greatest(own, j)).alias("tile"), (own == j).alias("_same")))
+    spread = known.withColumn("_tile", F.explode(tiles))
+    return spread.select(*rows.columns, "_piece", "_tile.tile", "_tile._same")
+
+
 def whole_groups(batches: Iterable[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
     """Sorted batches cut anew so that no group of ``keys`` is spread over two tables."""
     held: list[pa.RecordBatch] = []

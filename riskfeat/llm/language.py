@@ -174,12 +174,13 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 _GUESS = StructType().add("lang_pred", StringType()).add("score", DoubleType())
 
 
-def predicted(docs: DataFrame, found: dict[str, np.ndarray], size: int = PROFILE) -> DataFrame:
-    """``docs`` with a struct column ``guess`` of lang_pred and score, from the text alone.
+def predicted(docs: DataFrame, found: dict[str, np.ndarray], size: int = PROFILE, name: str = "guess") -> DataFrame:
+    """``docs`` with a struct column ``name`` of lang_pred and score, from the text alone.
 
     NULL texts and texts without a letter are ``und`` with score 0, as is
     everything where no language was learnt. Equal distances go to the first
     language by name. Rows are kept as they are; an empty table gives none.
+    ``name`` must be free.
     """
 
     @F.arrow_udf(_GUESS)
@@ -190,4 +191,4 @@ def predicted(docs: DataFrame, found: dict[str, np.ndarray], size: int = PROFILE
             [pa.array([g[0] for g in guesses], pa.string()), pa.array([g[1] for g in guesses], pa.float64())],
             ["lang_pred", "score"])
 
-    return docs.withColumn("guess", run("text"))
+    return docs.withColumn(name, run("text"))

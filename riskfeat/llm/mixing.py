@@ -124,22 +124,22 @@ def mixed(docs: DataFrame) -> DataFrame:
     key = spare("text_key", docs.columns)
     rows = docs.withColumn(key, F.coalesce(F.xxhash64("text"), F.lit(0)))
     takes = mix(document_sizes(rows.select("doc_id", "source", "text", F.col(key).alias("_text")), "_text"))
-    takes = cut_lineage(takes.groupBy("doc_id", "source", "_text").agg(
-        F.sum("copies").alias("_copies"), F.count("*").alias("_rows")).where("_copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "_text", "_copies", "_rows"))
+    own = {c: spare(c, rows.columns) for c in ("id", "of", "words", "copies", "rows", "copy")}
+    takes = cut_lineage(takes.groupBy(
+        F.col("doc_id").alias(own["id"]), F.col("source").alias(own["of"]), F.col("_text").alias(own["words"])).agg(
+        F.sum("copies").alias(own["copies"]), F.count("*").alias(own["rows"])).where(F.col(own["copies"]) > 0))
 
     def repeated(of: DataFrame, once: bool) -> DataFrame:
-        found = rows.join(of, rows["doc_id"].eqNullSafe(of["_id"]) & (rows[key] == of["_text"])
-                          & rows["source"].eqNullSafe(of["_source"]))
+        found = rows.join(of, rows["doc_id"].eqNullSafe(of[own["id"]]) & (rows[key] == of[own["words"]])
+                          & rows["source"].eqNullSafe(of[own["of"]]))
         if once:
-            found = found.dropDuplicates(["_id", "_source", "_text"])
-        return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(
-            *[rows[c] for c in docs.columns])
-
-    single = repeated(takes.where("_rows = 1"), False)
-    if takes.where("_rows > 1").isEmpty():
-        return single
-    return single.union(repeated(takes.where("_rows > 1"), True))
+            found = found.dropDuplicates([own["id"], own["of"], own["words"]])
+        times = F.sequence(F.lit(1), F.col(own["copies"]).cast("int"))
+        return found.withColumn(own["copy"], F.explode(times)).select(*docs.columns)
+
+    single = repeated(takes.where(F.col(own["rows"]) == 1), False)
+    several = takes.where(F.col(own["rows"]) > 1)
+    return single if several.isEmpty() else single.union(repeated(several, True))
 
 
 SQL = f"""

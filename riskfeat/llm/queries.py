@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import bytepair, language, mixing, privacy, quality, rules, simhash, urls
+from riskfeat.llm import bytepair, chat, language, mixing, privacy, quality, rules, simhash, urls, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,3 +82,16 @@ ORACLES["op10_adaptive_quality_rules"] = rules.SQL
 @query
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op5_perspective_rotation"] = chat.SQL
