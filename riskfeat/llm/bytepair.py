@@ -15,7 +15,6 @@ import hashlib
 import re
 import struct
 import sys
-import unicodedata
 from functools import cache
 
 import pyarrow as pa
@@ -112,18 +111,12 @@ class Codec:
 
 
 @cache
-def letters() -> str:
-    """Body of a character class of all letters, and of all numbers, as ranges."""
+def letters() -> tuple[str, str]:
+    """Bodies of character classes of all letters and of all numbers, as ranges."""
+    every = "".join(map(chr, range(sys.maxunicode + 1)))
+
     def ranges(kind: str) -> str:
-        runs, start = [], None
-        for c in range(sys.maxunicode + 2):
-            inside = c <= sys.maxunicode and unicodedata.category(chr(c))[0] == kind
-            if inside and start is None:
-                start = c
-            elif not inside and start is not None:
-                runs.append(f"\\U{start:08x}-\\U{c - 1:08x}")
-                start = None
-        return "".join(runs)
+        return "".join(f"\\U{m.start():08x}-\\U{m.end() - 1:08x}" for m in regex.finditer(rf"\p{{{kind}}}+", every))
 
     return ranges("L"), ranges("N")
 
