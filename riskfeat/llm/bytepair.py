@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 
-from riskfeat.llm.common import spare
+from riskfeat.llm.common import spare, whole_texts
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 LEAF = 4  # bytes that are merged directly
@@ -260,5 +260,5 @@ def encoded(docs: DataFrame, **where: str) -> DataFrame:
     empty texts have no ids. An empty table gives no rows.
     """
     ids = spare("ids", docs.columns)
-    return docs.withColumn(ids, token_ids(**where)).withColumn(
+    return whole_texts(docs).withColumn(ids, token_ids(**where)).withColumn(
         spare("n_tokens", docs.columns), (F.octet_length(ids) / 4).cast("bigint")).drop("text")

@@ -23,6 +23,15 @@ def words_of(text: str | Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAPS), "")
 
 
+def whole_texts(docs: DataFrame, rows: int = 500) -> DataFrame:
+    """``docs``, with the session set to send ``rows`` at a time to Python.
+
+    Texts may be long: a worker holds one batch of them and of its results.
+    """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    return docs
+
+
 def spare(name: str, taken: Iterable[str]) -> str:
     """``name``, with underscores in front until no column of ``taken`` has it."""
     lower = {c.lower() for c in taken}

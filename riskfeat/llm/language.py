@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
+from riskfeat.llm.common import whole_texts
 from riskfeat.operators.lookup import collect_bounded
 
 GRAMS = (1, 2, 3)
@@ -129,7 +130,7 @@ def profiles(docs: DataFrame, size: int = PROFILE) -> dict[str, np.ndarray]:
     language. More than ``MAX_LANGUAGES`` values of lang are refused: they are
     no language codes.
     """
-    learnt = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
+    learnt = whole_texts(docs).where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
     counts = learnt.mapInArrow(_counted, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(
         F.sum("n").alias("n"))
     first = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
@@ -191,4 +192,4 @@ def predicted(docs: DataFrame, found: dict[str, np.ndarray], size: int = PROFILE
             [pa.array([g[0] for g in guesses], pa.string()), pa.array([g[1] for g in guesses], pa.float64())],
             ["lang_pred", "score"])
 
-    return docs.withColumn(name, run("text"))
+    return whole_texts(docs).withColumn(name, run("text"))

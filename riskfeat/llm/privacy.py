@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
-from riskfeat.llm.common import spare
+from riskfeat.llm.common import spare, whole_texts
 from riskfeat.operators.lookup import BROADCAST_ROWS, as_small_table, collect_bounded
 from riskfeat.session import cut_lineage
 
@@ -108,8 +108,8 @@ def _joined(spans: list[tuple[int, str, int]]) -> str:
 @F.arrow_udf(ArrayType(StringType()))
 def _entities(text: pa.Array) -> pa.Array:
     found = []
-    for t in text.to_pylist():
-        t = t or ""
+    for v in text:
+        t = v.as_py() or ""
         found.append(sorted({entity(t, s) for s in base_spans(t)}) or None)
     return pa.array(found, pa.list_(pa.string()))
 
@@ -120,8 +120,8 @@ def _terms_among(known: frozenset[str] | None) -> Callable[[Column], Column]:
     @F.arrow_udf(ArrayType(StringType()))
     def run(text: pa.Array) -> pa.Array:
         found = []
-        for t in text.to_pylist():
-            t = t or ""
+        for v in text:
+            t = v.as_py() or ""
             spans = base_spans(t)
             have = set(_TERM.findall((_blanked(t, spans) if spans else t).lower()))
             have = have & known if known is not None else have
@@ -138,7 +138,7 @@ def term_disclosure(docs: DataFrame, min_texts: int = MIN_TEXTS, floor: float =
     evidence: an entity, and a term with it, needs ``min_texts`` different
     texts. An entity in more than half of the documents is public.
     """
-    texts = docs.select(F.xxhash64("text").alias("key"), "text")
+    texts = whole_texts(docs).select(F.xxhash64("text").alias("key"), "text")
     mentions = cut_lineage(texts.select("key", _entities("text").alias("found")).where(
         "found IS NOT NULL").groupBy("key", "found").agg(F.count("*").alias("copies")))
     spread = mentions.select("key", "copies", F.explode("found").alias("entity"))
@@ -181,20 +181,24 @@ def _inspect(text: str | None, shares: dict[str, float], remove: float) -> dict:
                  if (w := m.group().lower()) in shares] if shares else []
     every = sorted(named + [r[:3] for r in revealing],
                    key=lambda x: (x[0], KINDS.index(x[1]) if x[1] in KINDS else len(KINDS)))
-    clean = text
-    if every and text is not None:
+    clean = None
+    if every:
         dropped = {r[0] for r in revealing if r[3] >= remove}
         parts, at = [], 0
         for start, kind, end in every:
             if start >= at:
                 parts += [t[at:start], "" if kind == "term" and start in dropped else f"<{kind.upper()}>"]
             at = max(at, end)
-        clean = "".join([*parts, t[at:]])
+        clean = "".join([*parts, t[at:]])  # without spans it stays None: unchanged texts are not sent back
     return {**{f"n_{k}": sum(1 for _, i, _ in base if KINDS[i] == k) for k in KINDS},
             "base_sha256": hashlib.sha256(_joined(named).encode()).hexdigest(),
             "spans": _joined(every), "n_term": len(revealing), "clean_text": clean}
 
 
+def _with_text(found: Column, text: Column) -> Column:
+    return found.withField("clean_text", F.coalesce(found["clean_text"], text))
+
+
 def sanitise(docs: DataFrame, remove: float = REMOVE, **thresholds: float) -> DataFrame:
     """``docs`` with one more column: a struct of counts, spans and the sanitised text.
 
@@ -205,6 +209,7 @@ def sanitise(docs: DataFrame, remove: float = REMOVE, **thresholds: float) -> Da
     replaced once. NULL text counts as empty and stays NULL; repeated rows,
     NULL ids and other columns are kept as they are; an empty table gives none.
     """
+    docs = whole_texts(docs)
     name = spare("found", docs.columns)
     revealing = cut_lineage(term_disclosure(docs.select("text"), **thresholds))
     rows = collect_bounded(revealing, BROADCAST_ROWS)
@@ -213,9 +218,9 @@ def sanitise(docs: DataFrame, remove: float = REMOVE, **thresholds: float) -> Da
 
         @F.arrow_udf(_FOUND)
         def inspect(text: pa.Array) -> pa.Array:
-            return pa.array([_inspect(t, shares, remove) for t in text.to_pylist()], _ARROW)
+            return pa.array([_inspect(t.as_py(), shares, remove) for t in text], _ARROW)
 
-        return docs.withColumn(name, inspect("text"))
+        return docs.withColumn(name, _with_text(inspect("text"), F.col("text")))
 
     # too many terms for one map: each text gets those that occur in it
     key, per = spare("text_key", docs.columns), spare("per_text", docs.columns)
@@ -225,12 +230,12 @@ def sanitise(docs: DataFrame, remove: float = REMOVE, **thresholds: float) -> Da
 
     @F.arrow_udf(_FOUND)
     def inspect_with(text: pa.Array, names: pa.Array, shares: pa.Array) -> pa.Array:
-        return pa.array([_inspect(t, dict(zip(n or (), s or ())), remove) for t, n, s in zip(
-            text.to_pylist(), names.to_pylist(), shares.to_pylist())], _ARROW)
+        return pa.array([_inspect(t.as_py(), dict(zip(n or (), s or ())), remove) for t, n, s in zip(
+            text, names.to_pylist(), shares.to_pylist())], _ARROW)
 
     keyed = docs.withColumn(key, F.xxhash64("text"))
     joined = keyed.join(lists, keyed[key] == lists["_key"], "left").withColumn(
-        per, inspect_with(keyed["text"], lists["_terms"], lists["_shares"]))
+        per, _with_text(inspect_with(keyed["text"], lists["_terms"], lists["_shares"]), keyed["text"]))
     return joined.select(*[keyed[c] for c in docs.columns], F.col(per).alias(name))
 
 

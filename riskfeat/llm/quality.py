@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from riskfeat.llm.common import spare
+from riskfeat.llm.common import spare, whole_texts
 
 FIT_ROWS = 20_000
 HELD_OUT = 5  # crc32 of the doc_id modulo this is 0 for rows never learnt from
@@ -75,8 +75,8 @@ def features_of(text: bytes | None) -> list[float]:
 
 
 def _matrix(texts: pa.Array) -> np.ndarray:
-    values = texts.cast(pa.large_binary()).to_pylist()
-    return np.array([features_of(v) for v in values]).reshape(-1, len(FEATURES))
+    values = texts.cast(pa.large_binary())
+    return np.array([features_of(v.as_py()) for v in values]).reshape(-1, len(FEATURES))
 
 
 # ----------------------------------------------------------------------- model
@@ -218,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Additiv
     if n > fit_rows:
         share = int(fit_rows / n * 2**30)
         known = known.where(F.pmod(F.xxhash64("_id"), F.lit(2**30)) < share)
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select(
+    rows = whole_texts(docs).select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select(
         _features("text").alias("x"), "_label").collect()
     x = np.array([r["x"] for r in rows]).reshape(-1, len(FEATURES))
     return train(x, np.array([r["_label"] for r in rows], dtype=float))
@@ -235,7 +235,7 @@ def scored(docs: DataFrame, model: Additive, name: str = "score") -> DataFrame:
     def run(texts: pa.Array) -> pa.Array:
         return pa.array(model.score(_matrix(texts)))
 
-    return docs.withColumn(name, run("text"))
+    return whole_texts(docs).withColumn(name, run("text"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskfeat.llm import bytepair, chat, language, mixing, privacy, quality, rules, simhash, urls, vectors
+from riskfeat.llm.common import whole_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,7 +50,7 @@ def op1_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", bytepair.digests().alias("d"))
+    docs = whole_texts(table(spark, sf_dir, "documents")).select("doc_id", bytepair.digests().alias("d"))
     return docs.select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
 
 

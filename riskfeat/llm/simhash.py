@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from riskfeat.llm.common import TILE, Forest, components, pair_slabs, spare, tiled, whole_groups
+from riskfeat.llm.common import TILE, Forest, components, pair_slabs, spare, tiled, whole_groups, whole_texts
 from riskfeat.session import cut_lineage
 
 SHINGLE = 4
@@ -63,13 +63,13 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 @F.arrow_udf(LongType())
 def _fingerprints(text: pa.Array) -> pa.Array:
-    values = text.cast(pa.large_binary()).to_pylist()
-    return pa.array(np.array([fingerprint(v) for v in values], np.uint64).view(np.int64))
+    values = text.cast(pa.large_binary())
+    return pa.array(np.array([fingerprint(v.as_py()) for v in values], np.uint64).view(np.int64))
 
 
 def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "fp") -> DataFrame:
     """``docs`` with the fingerprint as a signed long in ``name``."""
-    return docs.withColumn(name, _fingerprints(F.col(text)))
+    return whole_texts(docs).withColumn(name, _fingerprints(F.col(text)))
 
 
 # --------------------------------------------------------------------- anchors
