@@ -31,11 +31,11 @@ def as_small_table(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame |
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def _match(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: bool) -> Column:
+def _match(left: DataFrame, right: DataFrame, on: Sequence[str], safe: Sequence[str]) -> Column:
     condition = F.lit(True)
     for k in on:
         a, b = left[k], right[f"_of_{k}"]
-        condition = condition & (a.eqNullSafe(b) if null_safe else a == b)
+        condition = condition & (a.eqNullSafe(b) if k in safe else a == b)
     return condition
 
 
@@ -48,7 +48,7 @@ def attach(
     table: DataFrame,
     on: str | Sequence[str],
     weight: str | None = None,
-    null_safe: bool = False,
+    null_safe: bool | Sequence[str] = False,
     max_rows: int = BROADCAST_ROWS,
     hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
@@ -57,29 +57,31 @@ def attach(
     ``weight`` names the column of ``table`` that tells how many rows carry a
     key; it decides which keys count as hot when ``table`` is too large to
     broadcast. With ``max_rows=0`` the table is taken to be large unchecked.
+    ``null_safe`` says whether NULL keys match each other, or for which keys.
     """
     on = [on] if isinstance(on, str) else list(on)
+    safe = (on if null_safe else []) if isinstance(null_safe, bool) else list(null_safe)
     values = [c for c in table.columns if c not in on]
     small = as_small_table(table, max_rows) if max_rows > 0 else None
     if small is not None:
         side = F.broadcast(_prefixed(small, on))
-        return rows.join(side, _match(rows, side, on, null_safe), "left").drop(
+        return rows.join(side, _match(rows, side, on, safe), "left").drop(
             *[f"_of_{k}" for k in on]
         )
     if weight is None:
         side = _prefixed(table, on)
-        return rows.join(side, _match(rows, side, on, null_safe), "left").drop(
+        return rows.join(side, _match(rows, side, on, safe), "left").drop(
             *[f"_of_{k}" for k in on]
         )
 
     hot = table.orderBy(F.col(weight).desc()).limit(hot_keys)
     hot = _prefixed(hot.select(*on, F.struct(*values).alias("_hot")), on)
-    step = rows.join(F.broadcast(hot), _match(rows, hot, on, null_safe), "left").drop(
+    step = rows.join(F.broadcast(hot), _match(rows, hot, on, safe), "left").drop(
         *[f"_of_{k}" for k in on]
     )
     answered = F.col("_hot").isNotNull()
-    if not null_safe:
-        for k in on:
+    for k in on:
+        if k not in safe:
             answered = answered | F.col(k).isNull()
     # a salt other than 0 matches nothing: it only spreads the answered rows
     step = step.withColumn(
@@ -90,7 +92,7 @@ def attach(
         "_side", F.lit(0).cast("bigint")
     )
     joined = step.join(
-        cold, _match(step, cold, on, null_safe) & (step["_salt"] == cold["_side"]), "left"
+        cold, _match(step, cold, on, safe) & (step["_salt"] == cold["_side"]), "left"
     )
     return joined.select(
         *rows.columns, *[F.coalesce(F.col("_hot")[v], F.col("_cold")[v]).alias(v) for v in values]

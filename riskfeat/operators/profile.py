@@ -125,12 +125,12 @@ def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataF
 
 
 def univariate_auc(
-    df: DataFrame, columns: Sequence[str], label: str, min_rows: int = 100, suspicious: float = 0.65
+    df: DataFrame, columns: Sequence[str], label: str, suspicious: float = 0.65
 ) -> DataFrame:
-    """AUC of each column on its own, direction ignored.
+    """AUC of each column on its own, direction ignored, with the number of rows behind it.
 
-    0.5 where fewer than ``min_rows`` rows carry a value or one class is
-    missing; ``suspicious`` marks columns that may leak the label.
+    0.5 where one class is missing; ``suspicious`` marks columns that may leak
+    the label.
     """
     labelled = df.filter(F.col(label).isNotNull())
     parts = [
@@ -138,9 +138,8 @@ def univariate_auc(
         for i in range(0, len(columns), CHUNK)
     ]
     scored = reduce(DataFrame.unionByName, parts)
-    usable = (F.col("n") >= min_rows) & F.col("auc").isNotNull()
-    auc = F.when(usable, F.greatest("auc", 1.0 - F.col("auc"))).otherwise(F.lit(0.5))
-    return scored.select("column", auc.alias("auc"), (auc > suspicious).cast("int").alias("suspicious"))
+    auc = F.when(F.col("auc").isNotNull(), F.greatest("auc", 1.0 - F.col("auc"))).otherwise(F.lit(0.5))
+    return scored.select("column", "n", auc.alias("auc"), (auc > suspicious).cast("int").alias("suspicious"))
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:

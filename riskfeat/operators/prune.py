@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Collection, Sequence
 
 import numpy as np
-from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,11 +34,7 @@ def flat_columns(df: DataFrame, threshold: float = 1e-6, keep: Collection[str] =
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
-    """Absolute Pearson correlations after median imputation.
-
-    Columns are scaled to unit deviation before the distributed Gramian, and a
-    constant column correlates with nothing.
-    """
+    """Absolute Pearson correlations after median imputation; a constant column correlates with nothing."""
     filled = fill_values(df.select(*columns), medians(df, columns))
     vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(filled).select("v")
     matrix = Correlation.corr(vectors, "v").first()[0].toArray()
@@ -63,21 +59,16 @@ def losers_of_pairs(corr: np.ndarray, auc: Sequence[float], threshold: float) ->
 
 
 def correlated_columns(
-    df: DataFrame, key: str, label: str, threshold: float = 0.98, sample: int | None = 20_000,
-    min_rows: int = 1000, min_columns: int = 200, seed: int = SEED,
+    df: DataFrame, key: str, label: str, threshold: float = 0.98, sample: int | None = None, seed: int = SEED,
 ) -> list[str]:
     """The weaker member of every numeric pair correlated beyond ``threshold``.
 
-    Small inputs (``min_rows`` labelled rows, ``min_columns`` columns) are
-    left alone. ``sample=None`` measures all rows.
+    All labelled rows are measured unless a ``sample`` size is asked for.
     """
-    labelled = df.filter(F.col(label).isNotNull())
-    if len(df.columns) < min_columns or labelled.count() < min_rows:
-        return []
     names = numeric_columns(df, {key, label})
     if len(names) < 2:
         return []
-    measured = labelled.select(key, label, *names)
+    measured = df.filter(F.col(label).isNotNull()).select(key, label, *names)
     if sample is not None:
         measured = seeded_sample(measured, key, sample, seed)
     table = {r["column"]: r["auc"] for r in profile.univariate_auc(measured, names, label).collect()}
@@ -98,19 +89,36 @@ def permute_label(df: DataFrame, key: str, label: str, seed: int) -> DataFrame:
     return here.drop("_h", label).join(there, "ordinal").withColumnRenamed("_label", label).drop("ordinal")
 
 
-def select_k_best(
-    df: DataFrame, columns: Sequence[str], label: str, k: int = 300, key: str | None = None,
-    sample: int | None = 50_000,
-) -> list[str]:
-    """The ``k`` columns with the strongest F statistic against the label."""
-    fitted = df if sample is None or key is None else seeded_sample(df, key, sample)
-    filled = fill_values(fitted.select(label, *columns), medians(fitted, columns))
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(
-        filled.withColumn(label, F.col(label).cast("double"))
-    )
-    selector = UnivariateFeatureSelector(featuresCol="v", labelCol=label, outputCol="s", selectionMode="numTopFeatures")
-    selector.setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(min(k, len(columns)))
-    return [columns[i] for i in sorted(selector.fit(vectors).selectedFeatures)]
+def f_statistics(df: DataFrame, columns: Sequence[str], label: str) -> list[float]:
+    """One-way F statistic of each column over the classes of the label, medians for missing values.
+
+    Per class one row of counts, means and variances comes back, over all rows;
+    a column without variance inside the classes has no finite F and counts as 0.
+    """
+    filled = fill_values(df.filter(F.col(label).isNotNull()).select(label, *columns), medians(df, columns))
+    found: list[float] = []
+    for i in range(0, len(columns), profile.CHUNK):
+        part = columns[i:i + profile.CHUNK]
+        rows = filled.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), *[
+            e for k, c in enumerate(part) for e in (F.avg(c).alias(f"_m{k}"), F.var_pop(c).alias(f"_v{k}"))]).collect()
+        n = np.array([r["_n"] for r in rows], dtype=float)
+        for k in range(len(part)):
+            mean, var = (np.array([r[f"_{x}{k}"] or 0.0 for r in rows], dtype=float) for x in "mv")
+            between = (n * (mean - (n * mean).sum() / n.sum()) ** 2).sum() / max(len(n) - 1, 1)
+            within = (n * var).sum() / max(n.sum() - len(n), 1)
+            found.append(float(between / within) if within > 0 else 0.0)
+    return found
+
+
+def select_k_best(df: DataFrame, columns: Sequence[str], label: str, k: int = 300) -> list[str]:
+    """The ``k`` columns with the strongest F statistic against the label, measured on all rows.
+
+    Statistics that agree to six decimals count as equal and leave the choice
+    to the order of columns.
+    """
+    strength = f_statistics(df, columns, label)
+    best = sorted(range(len(columns)), key=lambda i: (-round(strength[i], 6), i))[:k]
+    return [columns[i] for i in sorted(best)]
 
 
 def prune(df: DataFrame, key: str, label: str, missing: float = 0.99, variance: float = 1e-6,

@@ -59,7 +59,7 @@ def _with_bucket(df: DataFrame, source: DataFrame, value: str, by: list[str], bu
         starts = F.sequence(F.lit(1), F.lit(steps), F.lit(_BLOCK))
         nested = sketch.select(*by, "_rows", F.transform(starts, lambda i: F.slice("_cuts", i, _BLOCK)).alias("_blocks"))
         ended = nested.withColumn("_ends", F.transform("_blocks", lambda b: F.element_at(b, -1)))
-        known = attach(df, ended, by, weight="_rows", max_rows=0)
+        known = attach(df, ended, by, weight="_rows", max_rows=0, null_safe=True)
         bucket = _cuts_below(value, F.col("_ends"), F.col("_blocks"))
         return known.withColumn("_bucket", bucket).drop("_ends", "_blocks", "_rows")
     made = [(*[r[c] for c in by], *_blocks(r["_cuts"], r["_rows"], steps)) for r in rows if r["_cuts"]]
@@ -71,7 +71,7 @@ def _with_bucket(df: DataFrame, source: DataFrame, value: str, by: list[str], bu
         return df.withColumn("_bucket", _cuts_below(value, F.lit(ends), nested))
     kinds = "".join(f"`{c}` {source.schema[c].dataType.simpleString()}, " for c in by)
     table = df.sparkSession.createDataFrame(made, f"{kinds}_ends array<double>, _blocks array<array<double>>")
-    known = df.join(F.broadcast(table), by)
+    known = attach(df, table, by, null_safe=True)
     return known.withColumn("_bucket", _cuts_below(value, F.col("_ends"), F.col("_blocks"))).drop("_ends", "_blocks")
 
 
@@ -105,7 +105,7 @@ def value_positions(df: DataFrame, value: str, by: str | Sequence[str] = (), buc
         F.coalesce(F.sum("_rows").over(_before(by)), F.lit(0)).alias("_offset"),
         F.sum("_rows").over(Window.partitionBy(*keys)).alias("total"),
     )
-    return attach(inside, offsets, [*by, "_bucket"]).select(
+    return attach(inside, offsets, [*by, "_bucket"], null_safe=True).select(
         *by, value, "n", (F.col("_below") + F.col("_offset")).alias("below"), "total"
     )
 
@@ -120,7 +120,7 @@ def rank_normalize(
         *by, value, "n",
         F.try_divide(F.col("below") + (F.col("n") - 1) / 2, (F.col("total") - 1).cast("double")).alias(out),
     )
-    return attach(df, ranks, [*by, value], weight="n", max_rows=0).drop("n")
+    return attach(df, ranks, [*by, value], weight="n", max_rows=0, null_safe=by).drop("n")
 
 
 def roc_auc(
@@ -198,6 +198,6 @@ def ordinals(df: DataFrame, order: str, bucket: Column, by: str | Sequence[str]
     numbered = bucketed.withColumn(
         "_position", F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(order)) - 1
     )
-    return attach(numbered, offsets, [*by, "_bucket"]).withColumn(
+    return attach(numbered, offsets, [*by, "_bucket"], null_safe=True).withColumn(
         out, F.col("_position") + F.col("_offset")
     ).drop("_bucket", "_position", "_offset")

@@ -8,19 +8,18 @@ histogram per vector.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from riskfeat.functions.rows import logit
-from riskfeat.operators.checks import guard_rails
+from riskfeat.operators.checks import alignment, guard_rails
 from riskfeat.operators.encode import median_impute, standardize
 from riskfeat.operators.folds import FOLDS, SEED
 from riskfeat.operators.rank import rank_normalize, roc_auc
@@ -33,16 +32,26 @@ from riskfeat.sources.tables import ENTITY, LABEL
 
 BINS = 2_048
 DRAWS = 1_000
+EXACT_AT_ONCE = 100
+LEADERS = 25
 STARTS = 5
 STACKING_HINT = 0.795
 
 
 def wide_predictions(predictions: DataFrame, models: Sequence[str], key: str = ENTITY, value: str = "pred") -> DataFrame:
-    """One column per model, keys that every model has predicted."""
-    wide = predictions.groupBy(key).agg(*[
+    """One column per model; NULL where a model has not predicted a key."""
+    return predictions.groupBy(key).agg(*[
         F.max(F.when(F.col("model") == m, F.col(value))).alias(m) for m in models
     ])
-    return wide.dropna(subset=list(models))
+
+
+def complete(wide: DataFrame, models: Sequence[str], what: str) -> DataFrame:
+    """``wide``, written once; raises unless every model has predicted every key."""
+    table = cut_lineage(wide)
+    gaps = table.agg(*[F.count_if(F.col(m).isNull()).alias(m) for m in models]).first().asDict()
+    if any(gaps.values()):
+        raise ValueError(f"{what}: keys without a prediction by model: { {m: n for m, n in gaps.items() if n} }")
+    return table
 
 
 def model_ranks(predictions: DataFrame, models: Sequence[str], key: str = ENTITY) -> DataFrame:
@@ -68,36 +77,22 @@ def rank_blend(predictions: DataFrame, models: Sequence[str], weights: Sequence[
 def binned_auc(ranks: DataFrame, models: Sequence[str], label: str, batch: np.ndarray, bins: int = BINS) -> np.ndarray:
     """AUC of every weight vector of ``batch`` in one pass, scores cut into bins.
 
-    Rows of one bin count as tied. Each task reduces its rows to one pair of
-    histograms per weight vector.
+    Rows of one bin count as tied. Tasks combine their rows to one count per
+    vector and bin before anything is shuffled.
     """
-    vectors = np.asarray(batch, dtype=float)
-    names = list(models)
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hist = np.zeros((2, len(vectors), bins), dtype=np.int64)
-        for frame in frames:
-            x, y = frame[names].to_numpy(float), frame[label].to_numpy(int)
-            for i, w in enumerate(vectors):
-                spot = np.clip((x @ w * bins).astype(int), 0, bins - 1)
-                hist[:, i] += np.stack([np.bincount(spot[y == c], minlength=bins) for c in (0, 1)])
-        yield pd.DataFrame({
-            "i": np.arange(len(vectors)), "neg": list(hist[0]), "pos": list(hist[1]),
-        })
-
-    def combine(group: pd.DataFrame) -> pd.DataFrame:
-        neg, pos = np.sum(np.stack(group["neg"]), axis=0), np.sum(np.stack(group["pos"]), axis=0)
-        wins = (pos * (np.cumsum(neg) - neg / 2)).sum()
-        pairs = float(pos.sum()) * float(neg.sum())
-        return pd.DataFrame({"i": [group["i"].iloc[0]], "auc": [wins / pairs if pairs else np.nan]})
-
-    partial = ranks.select(*names, F.col(label).cast("int").alias(label)).mapInPandas(
-        count, "i int, neg array<long>, pos array<long>"
-    )
-    scores = partial.groupBy("i").applyInPandas(combine, "i int, auc double")
-    out = np.full(len(vectors), np.nan)
-    for row in scores.collect():
-        out[row["i"]] = row["auc"]
+    weights = F.array(*[F.array(*[F.lit(float(x)) for x in w]) for w in np.asarray(batch, dtype=float)])
+    scores = F.array(*[F.col(m) for m in models])
+    cut = F.transform(weights, lambda w, i: F.struct(i.alias("i"), F.least(F.greatest(F.floor(F.aggregate(
+        F.zip_with(w, scores, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b) * bins), F.lit(0)), F.lit(bins - 1)
+    ).cast("int").alias("bin")))
+    counts = ranks.select(F.col(label).cast("bigint").alias("_y"), F.explode(cut).alias("c")).groupBy("c.i", "c.bin").agg(
+        F.sum("_y").alias("pos"), F.count_if(F.col("_y") == 0).alias("neg"))
+    below = F.sum("neg").over(Window.partitionBy("i").orderBy("bin")) - F.col("neg") / 2  # at most ``bins`` rows
+    scored = counts.withColumn("_wins", F.col("pos") * below).groupBy("i").agg(F.try_divide(
+        F.sum("_wins"), F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
+    out = np.full(len(batch), np.nan)
+    for row in scored.collect():
+        out[row["i"]] = np.nan if row["auc"] is None else row["auc"]
     return out
 
 
@@ -115,20 +110,19 @@ Scored = list[tuple[float, np.ndarray]]
 
 
 def dirichlet_search(
-    ranks: DataFrame, models: Sequence[str], label: str, draws: int = DRAWS, seed: int = SEED, exact: int = 10
+    ranks: DataFrame, models: Sequence[str], label: str, draws: int = DRAWS, seed: int = SEED, exact: int | None = None
 ) -> Scored:
-    """Uniform draws from the weight simplex, best first.
+    """Uniform draws from the weight simplex with their exact AUC, best first.
 
-    All draws are scored on bins; the leading ``exact`` are scored again
-    without bins and put in their exact order.
+    With ``exact`` all draws are ranked on bins and only that many leaders are
+    scored exactly and returned.
     """
     batch = np.random.default_rng(seed).dirichlet(np.ones(len(models)), size=draws)
-    rough = binned_auc(ranks, models, label, batch)
-    order = np.argsort(-rough, kind="stable")
-    lead = order[:exact]
-    sharp = exact_auc(ranks, models, label, batch[lead])
-    best = sorted(zip(sharp, batch[lead]), key=lambda p: -p[0])
-    return best + [(float(rough[i]), batch[i]) for i in order[exact:]]
+    if exact is not None and exact < draws:
+        batch = batch[np.argsort(-binned_auc(ranks, models, label, batch), kind="stable")[:exact]]
+    scores = np.concatenate([
+        exact_auc(ranks, models, label, batch[i:i + EXACT_AT_ONCE]) for i in range(0, len(batch), EXACT_AT_ONCE)])
+    return sorted(zip(map(float, scores), batch), key=lambda p: -p[0])
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -210,9 +204,13 @@ def run_ensemble(
     models = list(models or known_models(predictions))
     oof = predictions.filter(F.col("split") == "oof")
     score = mean_over_folds(predictions.filter(F.col("split") == "score"), key)
-    oof_ranks = model_ranks(oof, models, key)
+    oof_ranks = complete(model_ranks(oof, models, key), models, "out-of-fold predictions")
+    score_ranks = complete(model_ranks(score, models, key), models, "score predictions")
     labelled = cut_lineage(oof_ranks.join(labels.select(key, label), key))
-    grid = dirichlet_search(labelled, models, label, draws, seed)
+    apart = alignment(oof_ranks, labels.filter(F.col(label).isNotNull()), key).first()
+    if apart["only_left"] or apart["only_right"]:
+        raise ValueError(f"out-of-fold keys and labelled keys differ: {apart.asDict()}")
+    grid = dirichlet_search(labelled, models, label, draws, seed, LEADERS)
     auc, weights = refine_weights([w for _, w in grid[:STARTS]], labelled, models, label, rounds)
     ranking = sorted([*grid, (auc, weights)], key=lambda p: -p[0])
     if ledger is not None:
@@ -221,7 +219,7 @@ def run_ensemble(
     return {
         "models": models, "weights": [float(w) for w in weights], "oof_auc": auc,
         "oof": prediction_rows(labelled, key, "ensemble", -1, "oof", blend),
-        "score": prediction_rows(model_ranks(score, models, key), key, "ensemble", -1, "score", blend),
+        "score": prediction_rows(score_ranks, key, "ensemble", -1, "score", blend),
         "consider_stacking": auc < STACKING_HINT,
     }
 
@@ -238,8 +236,10 @@ def stack_logistic(
     ``rows`` carries key, label, fold and the raw columns of labelled and score
     rows. Returns predictions, AUC over all folds, fold AUCs and warnings.
     """
-    oof = wide_predictions(predictions.filter(F.col("split") == "oof"), models, key)
-    score = wide_predictions(mean_over_folds(predictions.filter(F.col("split") == "score"), key), models, key)
+    oof = complete(wide_predictions(predictions.filter(F.col("split") == "oof"), models, key), models,
+                   "out-of-fold predictions")
+    score = complete(wide_predictions(mean_over_folds(predictions.filter(F.col("split") == "score"), key), models, key),
+                     models, "score predictions")
     logits = oof.unionByName(score).select(key, *[logit(m).alias(m) for m in models])
     table = cut_lineage(rows.select(key, label, fold, *raw).join(logits, key))
     parts = []

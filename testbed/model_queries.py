@@ -6,10 +6,11 @@ The presets' tree counts are cut down here, the rows are not.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.operators.folds import split_by_label, stratified_folds
+from riskfeat.operators.folds import SEED, split_by_label, stratified_folds
 from riskfeat.plans import columns as names
 from riskfeat.plans import ensemble
 from riskfeat.plans.application import application_rows
@@ -21,7 +22,7 @@ from riskfeat.plans.training import (
 )
 from riskfeat.session import cut_lineage
 from riskfeat.sources.sinks import prediction_rows
-from testbed.registry import query
+from testbed.registry import query, rounded
 from testbed.roles import load, role
 from testbed.row_queries import ID, application
 
@@ -103,7 +104,7 @@ def adversarial_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def null_importance_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = training_matrix(spark, sf_dir).drop("fold_main")
-    dropped = set(null_importance_columns(df, max_columns=5, runs=2, sample=None, params=_QUICK))
+    dropped = set(null_importance_columns(df, runs=2, sample=None, params=_QUICK))
     return spark.createDataFrame([(c, int(c in dropped)) for c in df.columns], "column string, dropped int")
 
 
@@ -156,7 +157,24 @@ def stacked_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ensemble.stack_logistic(predictions, rows, ["length", "variety"], ["chars"], "doc_id", folds=3)[0]
 
 
-@query()
+_DOC_RANK = ("(rank() OVER (ORDER BY {c}) - 1 + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0) / (count(*) OVER () - 1)")
+_DOC_SCORES = ("SELECT doc_id, quality AS y, 1 / (1 + exp(-CAST(n_chars AS DOUBLE) / 1000)) AS length, CAST(len(list_distinct(w)) AS DOUBLE) "
+               "/ len(w) AS variety FROM (SELECT *, regexp_split_to_array(text, '[ \\t\\n\\x0B\\f\\r]+') AS w FROM documents) "
+               "JOIN labels USING (doc_id)")
+_DOC_RANKS = (f"SELECT doc_id, y, length, variety, {_DOC_RANK.format(c='length')} AS rl, {_DOC_RANK.format(c='variety')} AS rv "
+              f"FROM ({_DOC_SCORES})")
+
+
+def _pair_auc(score: str, source: str) -> str:
+    """Tie-aware AUC of one score column."""
+    return (f"SELECT (sum(CASE WHEN y = 1 THEN r END) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y))) AS auc FROM "
+            f"(SELECT y, rank() OVER (ORDER BY {score}) + (count(*) OVER (PARTITION BY {score}) - 1) / 2.0 AS r FROM ({source}))")
+
+
+@query(f"WITH d AS ({_DOC_RANKS}), a AS (SELECT 'ensemble' AS model, auc FROM ({_pair_auc('rl * 0.5 + rv * 0.5', 'SELECT * FROM d')}) UNION ALL "
+       f"SELECT 'length', auc FROM ({_pair_auc('length', 'SELECT * FROM d')}) UNION ALL SELECT 'variety', auc FROM ({_pair_auc('variety', 'SELECT * FROM d')})), "
+       "o AS (SELECT * FROM a WHERE model <> 'ensemble' ORDER BY auc DESC LIMIT 1) SELECT round(a.auc, 6) + 0.0 AS auc, o.model AS best_model, "
+       "round(o.auc, 6) + 0.0 AS best_auc, round(a.auc - o.auc, 6) + 0.0 AS lift FROM a, o WHERE a.model = 'ensemble'")
 def lift_of_blend(spark: SparkSession, sf_dir: str) -> DataFrame:
     predictions, rows = document_predictions(spark, sf_dir)
     labels = rows.filter("TARGET IS NOT NULL")
@@ -164,17 +182,24 @@ def lift_of_blend(spark: SparkSession, sf_dir: str) -> DataFrame:
     oof = predictions.filter("split = 'oof'")
     blend = ensemble.rank_blend(oof, models, (0.5, 0.5), "doc_id")
     both = oof.unionByName(prediction_rows(blend, "doc_id", "ensemble", -1, "oof", F.col("blend")))
-    return ensemble.lift_over_best(ensemble.model_aucs(both, labels, "doc_id"), "ensemble")
+    return rounded(ensemble.lift_over_best(ensemble.model_aucs(both, labels, "doc_id"), "ensemble"))
 
 
-@query()
+_DRAWS = np.random.default_rng(SEED).dirichlet(np.ones(2), size=200)
+
+
+@query(f"WITH d AS ({_DOC_RANKS}), w AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, {a!r} :: DOUBLE, {b!r} :: DOUBLE)" for i, (a, b) in enumerate(_DRAWS.tolist()))
+       + ") t(i, length, variety)), s AS (SELECT i, w.length, w.variety, y, rl * w.length + rv * w.variety AS score FROM d, w), "
+       "r AS (SELECT *, rank() OVER (PARTITION BY i ORDER BY score) + (count(*) OVER (PARTITION BY i, score) - 1) / 2.0 AS r FROM s) "
+       "SELECT round(length, 6) + 0.0 AS length, round(variety, 6) + 0.0 AS variety, "
+       "round((sum(CASE WHEN y = 1 THEN r END) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y))), 4) + 0.0 AS auc "
+       "FROM r GROUP BY i, length, variety")
 def weight_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All random weights with their AUC, best first."""
+    """All random weights with their exact AUC."""
     predictions, rows = document_predictions(spark, sf_dir)
     models = ["length", "variety"]
     ranks = ensemble.model_ranks(predictions.filter("split = 'oof'"), models, "doc_id")
     labelled = cut_lineage(ranks.join(rows.filter("TARGET IS NOT NULL").select("doc_id", "TARGET"), "doc_id"))
-    found = ensemble.dirichlet_search(labelled, models, "TARGET", draws=200)
-    return spark.createDataFrame(
-        [(i, float(a), float(w[0]), float(w[1])) for i, (a, w) in enumerate(found)],
-        "place int, auc double, length double, variety double")
+    found = ensemble.dirichlet_search(labelled, models, "TARGET", draws=len(_DRAWS))
+    table = spark.createDataFrame([(float(w[0]), float(w[1]), float(a)) for a, w in found], "length double, variety double, auc double")
+    return rounded(table).withColumn("auc", F.round("auc", 4))

@@ -184,6 +184,25 @@ def rank_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rank.rank_normalize(events, "value", by="event_type"))
 
 
+_NULL_EVENTS = "SELECT event_id, nullif(event_type, 'view') AS kind, value, CAST(floor(value) AS BIGINT) % 2 AS y FROM events"
+
+
+def events_with_null_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "events").select(
+        "event_id", F.nullif(F.col("event_type"), F.lit("view")).alias("kind"), "value", (F.floor("value") % 2).alias("y"))
+
+
+@query("SELECT event_id, kind, value, " + rounded_sql(_GROUP_RANK.replace("event_type", "kind"), "rank") + f" FROM ({_NULL_EVENTS})")
+def rank_with_null_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(rank.rank_normalize(events_with_null_group(spark, sf_dir).drop("y"), "value", by="kind"))
+
+
+@query("SELECT kind, round(quantile_cont(value, 0.25), 6) + 0.0 AS q0, round(quantile_cont(value, 0.9), 6) + 0.0 AS q1 "
+       f"FROM ({_NULL_EVENTS}) GROUP BY kind")
+def quantiles_with_null_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(rank.exact_quantiles(events_with_null_group(spark, sf_dir), "value", (0.25, 0.9), by="kind"))
+
+
 def auc_sql(source: str, score: str, label: str, by: str | None = None, exact: bool = False) -> str:
     part = f"PARTITION BY {by}" if by else ""
     tie = f"PARTITION BY {by}, {score}" if by else f"PARTITION BY {score}"
@@ -205,8 +224,13 @@ def roc_auc_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rank.roc_auc(labelled_docs(spark, sf_dir), "n_chars", "quality", by="lang"))
 
 
-@query("SELECT \"column\", round(auc, 6) + 0.0 AS auc, CAST(auc > 0.65 AS INT) AS suspicious FROM ("
-       "SELECT \"column\", CASE WHEN n >= 100 AND auc IS NOT NULL THEN greatest(auc, 1 - auc) ELSE 0.5 END AS auc FROM ("
+@query(auc_sql(_NULL_EVENTS, "value", "y", "kind"))
+def roc_auc_with_null_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(rank.roc_auc(events_with_null_group(spark, sf_dir), "value", "y", by="kind"))
+
+
+@query("SELECT \"column\", n, round(auc, 6) + 0.0 AS auc, CAST(auc > 0.65 AS INT) AS suspicious FROM ("
+       "SELECT \"column\", n, CASE WHEN auc IS NOT NULL THEN greatest(auc, 1 - auc) ELSE 0.5 END AS auc FROM ("
        + auc_sql(with_ctes([("app", _APP)], " UNION ALL ".join(
            f"SELECT '{c}' AS \"column\", {c} AS value, TARGET FROM app WHERE TARGET IS NOT NULL AND {c} IS NOT NULL" for c in _APP_NUMBERS)),
            "value", "TARGET", "\"column\"", exact=True) + "))")
@@ -386,19 +410,33 @@ def column_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pruned_for_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = installments_features(role(spark, sf_dir, "installments_payments"))
     labelled = table.join(application(spark, sf_dir).select(ID, "TARGET"), ID)
-    dropped = prune.correlated_columns(labelled, ID, "TARGET", 0.98, sample=None, min_columns=50)
+    dropped = prune.correlated_columns(labelled, ID, "TARGET", 0.98)
     return spark.createDataFrame([(c,) for c in dropped], "column string")
 
 
-@query()
+_F_COLUMNS = ["INS_COUNT", "INS_DPD_MEAN", "INS_DPD_MAX", "INS_AMT_PAYMENT_SUM", "INS_LATE_RATE", "INS_3M_COUNT", "INS_12M_COUNT",
+              "INS_12M_DPD_MEAN", "INS_6M_DPD_MAX", "INS_AMT_PAYMENT_MEAN"]
+_F_OF = ("SELECT '{c}' AS \"column\", {i} AS place, round((sum(n * power(m - whole, 2)) / (count(*) - 1)) / "
+         "nullif(sum(n * v) / (sum(n) - count(*)), 0), 6) AS f FROM (SELECT TARGET, count(*) AS n, avg(x) AS m, var_pop(x) AS v, "
+         "any_value(whole) AS whole FROM (SELECT TARGET, x, avg(x) OVER () AS whole FROM (SELECT TARGET, coalesce({c}, "
+         "(SELECT quantile_disc({c}, 0.5) FROM lab)) AS x FROM lab)) GROUP BY TARGET)")
+
+
+@query(with_ctes([("ins", ORACLES["installments_table"]), ("app", _APP),
+                  ("lab", f"SELECT app.TARGET, ins.* FROM ins JOIN app USING ({ID}) WHERE TARGET IS NOT NULL"),
+                  ("f", " UNION ALL ".join(_F_OF.format(c=c, i=i) for i, c in enumerate(_F_COLUMNS)))],
+                 'SELECT "column" FROM f ORDER BY coalesce(f, 0) DESC, place LIMIT 4'))
 def selected_by_f_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = installments_features(role(spark, sf_dir, "installments_payments"))
     labelled = table.join(application(spark, sf_dir).select(ID, "TARGET"), ID).filter("TARGET IS NOT NULL")
-    chosen = prune.select_k_best(labelled, numeric_columns(labelled, {ID, "TARGET"}), "TARGET", 20, ID, None)
+    chosen = prune.select_k_best(labelled, _F_COLUMNS, "TARGET", 4)
     return spark.createDataFrame([(c,) for c in chosen], "column string")
 
 
-@query()
+_DEALT = "SELECT {c}, row_number() OVER (ORDER BY md5(doc_id || ':{s}')) AS r FROM labels"
+
+
+@query(f"SELECT a.doc_id, b.toxic FROM ({_DEALT.format(c='doc_id', s=7)}) a JOIN ({_DEALT.format(c='toxic', s=8)}) b USING (r)")
 def permuted_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "labels").select("doc_id", "toxic")
     return prune.permute_label(docs, "doc_id", "toxic", 7)

@@ -93,3 +93,19 @@ def test_rows_are_never_ordered_in_one_task(spark):
     for line in plan.splitlines():
         if "Window [" in line and "_rows" not in line:
             assert "_bucket#" in line
+
+
+@pytest.mark.parametrize("rows", [250_000, 20])
+def test_the_null_group_is_a_group(spark, monkeypatch, rows):
+    monkeypatch.setattr(rank, "ROWS_PER_BUCKET", rows)
+    data = [(None if i % 3 == 0 else i % 3, float(i * 7 % 50), i % 2) for i in range(300)] + [(None, None, 1)]
+    df = spark.createDataFrame(data, "g int, v double, y int")
+    named = df.withColumn("g", F.coalesce("g", F.lit(9)))
+
+    def same(fn):
+        a, b = ([tuple(9 if c == "g" and r[c] is None else r[c] for c in r.asDict()) for r in fn(x).collect()] for x in (df, named))
+        assert sorted(a, key=str) == sorted(b, key=str) and any(9 in r for r in a)
+
+    same(lambda x: rank.rank_normalize(x, "v", by="g"))
+    same(lambda x: rank.roc_auc(x, "v", "y", by="g"))
+    same(lambda x: rank.exact_quantiles(x, "v", [0.0, 0.3, 0.5], by="g"))

@@ -91,9 +91,8 @@ def test_search_logs_every_trial(spark, matrix, tmp_path):
 
 def test_null_importance_keeps_the_signal(matrix):
     df = matrix.drop("fold_main", "cat")
-    dropped = training.null_importance_columns(df, max_columns=2, runs=3, sample=None, params=QUICK)
+    dropped = training.null_importance_columns(df, runs=3, sample=None, params=QUICK)
     assert "signal" not in dropped
-    assert training.null_importance_columns(df, max_columns=50) == []
 
 
 def test_adversarial_validation_sees_a_shift(matrix):
@@ -184,6 +183,11 @@ def test_run_ensemble(spark, scored, tmp_path):
     assert result["oof"].count() == 1300 and result["score"].count() == 200
     log = sinks.read_ledger(spark, ledger, sinks.ENSEMBLE_LEDGER)
     assert log.count() == 10 and log.agg(F.max("oof_auc")).first()[0] == pytest.approx(result["oof_auc"])
+    with pytest.raises(ValueError, match="good"):
+        ensemble.run_ensemble(predictions.filter("NOT (model = 'good' AND SK_ID_CURR < 300)"), labels.filter("TARGET IS NOT NULL"),
+                              draws=5, rounds=1)
+    with pytest.raises(ValueError, match="keys differ"):
+        ensemble.run_ensemble(predictions, labels.filter("TARGET IS NOT NULL AND SK_ID_CURR < 900"), draws=5, rounds=1)
     aucs = ensemble.model_aucs(predictions, labels)
     best_single = aucs.agg(F.max("auc")).first()[0]
     assert result["oof_auc"] > best_single
