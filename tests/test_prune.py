@@ -83,4 +83,4 @@ def test_k_best(table):
 
 def test_prune_keeps_key_and_label(table):
     out = prune.prune(table, "id", "y")
-    assert out.columns == ["id", "y", "signal", "mirrored", "blurred", "noise", "s"]
+    assert out.columns == ["id", "y", "signal", "noise", "s"]
