@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,41 +29,63 @@ def flag(condition: Column) -> Column:
     return condition.cast("int")
 
 
-def is_null_flag(c: ColumnLike) -> Column:
-    return as_col(c).isNull().cast("int")
+def quoted(name: str) -> str:
+    return f"`{name}`"
+
+
+def literal(text: str) -> str:
+    """A string as SQL text."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+# Statistics over families of columns are built as SQL text: one parsed expression
+# instead of several calls into the JVM for every column.
+
+
+def is_null_flag(c: str) -> Column:
+    return F.expr(f"cast({quoted(c)} IS NULL AS int)")
+
+
+def _nulls_sql(cols: Sequence[str]) -> str:
+    return "(" + " + ".join(f"cast({quoted(c)} IS NULL AS int)" for c in cols) + ")"
 
 
-def null_count(cols: Sequence[ColumnLike]) -> Column:
-    return reduce(add, [is_null_flag(c) for c in cols])
+def _sum_sql(cols: Sequence[str]) -> str:
+    return "(" + " + ".join(f"coalesce(cast({quoted(c)} AS double), 0D)" for c in cols) + ")"
 
 
-def row_sum(cols: Sequence[ColumnLike]) -> Column:
+def _mean_sql(cols: Sequence[str]) -> str:
+    return f"try_divide({_sum_sql(cols)}, cast({len(cols)} - {_nulls_sql(cols)} AS double))"
+
+
+def null_count(cols: Sequence[str]) -> Column:
+    return F.expr(_nulls_sql(cols))
+
+
+def row_sum(cols: Sequence[str]) -> Column:
     """Sum that skips NULLs; 0 when every input is NULL."""
-    return reduce(add, [F.coalesce(as_col(c).cast("double"), F.lit(0.0)) for c in cols])
+    return F.expr(_sum_sql(cols))
 
 
-def row_mean(cols: Sequence[ColumnLike]) -> Column:
+def row_mean(cols: Sequence[str]) -> Column:
     """Mean of the non-NULL inputs, NULL when there are none."""
-    present = F.lit(len(cols)) - null_count(cols)
-    return F.try_divide(row_sum(cols), present.cast("double"))
+    return F.expr(_mean_sql(cols))
 
 
-def row_min(cols: Sequence[ColumnLike]) -> Column:
-    return F.least(*[as_col(c) for c in cols])
+def row_min(cols: Sequence[str]) -> Column:
+    return F.expr(f"least({', '.join(map(quoted, cols))})")
 
 
-def row_max(cols: Sequence[ColumnLike]) -> Column:
-    return F.greatest(*[as_col(c) for c in cols])
+def row_max(cols: Sequence[str]) -> Column:
+    return F.expr(f"greatest({', '.join(map(quoted, cols))})")
 
 
-def row_std(cols: Sequence[ColumnLike]) -> Column:
+def row_std(cols: Sequence[str]) -> Column:
     """Sample standard deviation over the non-NULL inputs (NULL below two)."""
-    mean = row_mean(cols)
-    squares = [F.coalesce(F.pow(as_col(c).cast("double") - mean, 2), F.lit(0.0)) for c in cols]
-    freedom = F.lit(len(cols) - 1) - null_count(cols)
-    return F.when(
-        freedom > 0, F.sqrt(F.try_divide(reduce(add, squares), freedom.cast("double")))
-    )
+    mean, freedom = _mean_sql(cols), f"({len(cols) - 1} - {_nulls_sql(cols)})"
+    squares = " + ".join(f"coalesce(pow(cast({quoted(c)} AS double) - {mean}, 2), 0D)" for c in cols)
+    return F.expr(f"CASE WHEN {freedom} > 0 THEN sqrt(try_divide({squares}, cast({freedom} AS double))) END")
 
 
 def clipped_diff(a: ColumnLike, b: ColumnLike) -> Column:
@@ -83,10 +104,6 @@ def finite_or_null(c: ColumnLike) -> Column:
     return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
 
 
-def quoted(name: str) -> str:
-    return f"`{name}`"
-
-
 def finite_sql(name: str) -> str:
     """``finite_or_null`` of a column as double, as SQL text.
 

@@ -12,12 +12,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from riskfeat.functions.columns import numeric_columns
-from riskfeat.functions.rows import finite_sql, inverse_normal, quoted
+from riskfeat.functions.rows import finite_sql, inverse_normal, literal, quoted
 from riskfeat.operators.lookup import BROADCAST_ROWS, attach, collect_bounded
 from riskfeat.operators.rank import ordinals
 from riskfeat.session import cut_lineage
@@ -43,15 +43,17 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def count_encode(
-    df: DataFrame, columns: Sequence[str], prefix: str = "APP_CAT", max_rows: int = BROADCAST_ROWS
+    df: DataFrame, columns: Sequence[str], prefix: str = "APP_CAT", max_rows: int = BROADCAST_ROWS,
+    counts: Sequence[Row] | None = None,
 ) -> DataFrame:
     """Count and relative frequency of each row's category.
 
-    A NULL category gets NULL, not the number of NULLs.
+    A NULL category gets NULL, not the number of NULLs. ``counts`` are rows of
+    ``category_counts`` where they have been collected before.
     """
-    counts = category_counts(df, columns)
-    known = counts.filter(F.col("value").isNotNull())
-    rows = collect_bounded(counts, max_rows) if max_rows > 0 else None
+    measured = category_counts(df, columns)
+    known = measured.filter(F.col("value").isNotNull())
+    rows = counts if counts is not None else collect_bounded(measured, max_rows) if max_rows > 0 else None
     if rows is None:
         total = df.count()
     else:
@@ -88,8 +90,8 @@ def _inline(entries: Mapping[str, int], column: str) -> Column:
     """A short dictionary as a literal map: no join for the usual few categories."""
     if not entries:
         return F.lit(None).cast("bigint")
-    pairs = [x for value, n in entries.items() for x in (F.lit(value), F.lit(n).cast("bigint"))]
-    return F.try_element_at(F.create_map(*pairs), F.col(column))
+    pairs = ", ".join(f"{literal(value)}, {n}L" for value, n in entries.items())
+    return F.expr(f"try_element_at(map({pairs}), {quoted(column)})")
 
 
 def one_hot(
@@ -114,7 +116,8 @@ def one_hot(
             raise ValueError(f"{c} has more than {limit} categories: encode it by count instead")
         for level in levels:
             name = f"{prefix}{c}__{'null' if level is None else level}"
-            hot[name] = F.col(c).eqNullSafe(F.lit(level)).cast("int")
+            same = f"{quoted(c)} IS NULL" if level is None else f"{quoted(c)} <=> {literal(level)}"
+            hot[name] = F.expr(f"cast({same} AS int)")
     return df.select("*", *[e.alias(n) for n, e in hot.items()])
 
 

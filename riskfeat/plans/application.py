@@ -11,7 +11,8 @@ from riskfeat.functions.columns import key_first, present, with_prefix
 from riskfeat.functions.rows import (
     is_null_flag, null_count, ratio, row_max, row_mean, row_min, row_std, row_sum,
 )
-from riskfeat.operators.encode import count_encode, one_hot
+from riskfeat.operators.encode import category_counts, count_encode, one_hot
+from riskfeat.operators.lookup import BROADCAST_ROWS, collect_bounded
 from riskfeat.plans import columns as names
 from riskfeat.sources.tables import ENTITY, LABEL
 
@@ -63,9 +64,8 @@ def external_scores() -> dict[str, Column]:
     }
 
 
-def interactions() -> dict[str, Column]:
-    """Credit and employment terms divided by external-score terms."""
-    built = {**domain_ratios(), **external_scores()}
+def interactions(built: Mapping[str, Column]) -> dict[str, Column]:
+    """Credit and employment terms divided by external-score terms, out of those ``built`` before."""
     term, mean = built["APP_CREDIT_TERM"], built["APP_EXT_MEAN"]
     return {
         "APP_CREDIT_TERM_DIV_EXT1_TO_BIRTH": ratio(term, ratio("EXT_SOURCE_1", "DAYS_BIRTH")),
@@ -112,8 +112,8 @@ def building_means(df: DataFrame) -> dict[str, Column]:
 
 def application_rows(df: DataFrame) -> DataFrame:
     """All row-level features in one projection."""
-    made = {**domain_ratios(), **external_scores(), **interactions(),
-            **document_flags(df), **building_means(df)}
+    built = {**domain_ratios(), **external_scores()}
+    made = {**built, **interactions(built), **document_flags(df), **building_means(df)}
     return df.select("*", *[e.alias(n) for n, e in made.items()])
 
 
@@ -134,8 +134,11 @@ def application_features(
     """
     df = base.drop(LABEL)
     rows = application_rows(df)
-    counted = count_encode(rows, present(df, names.CATEGORIES))
-    low_card = present(df, names.LOW_CARD_CATEGORIES)
+    categories, low_card = present(df, names.CATEGORIES), present(df, names.LOW_CARD_CATEGORIES)
+    counts = collect_bounded(category_counts(df, categories), BROADCAST_ROWS) if categories else None
+    counted = count_encode(rows, categories, counts=counts)
+    if vocabulary is None and counts is not None and set(low_card) <= set(categories):
+        vocabulary = {c: [r["value"] for r in counts if r["column"] == c] for c in low_card}
     hot = one_hot(counted, low_card, vocabulary=vocabulary) if low_card else counted
     replaced = [
         *present(df, names.CATEGORIES), *with_prefix(df, "FLAG_DOCUMENT_"), *building_columns(df)
