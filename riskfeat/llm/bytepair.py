@@ -26,6 +26,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 from riskfeat.llm.common import spare, whole_texts
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+NONE = 1 << 62  # rank of what is no token
 LEAF = 4  # bytes that are merged directly
 _KEPT = 1 << 18  # entries of a memo before it starts anew
 
@@ -58,36 +59,40 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], leaf: int = LEAF) -> None:
         self.ranks, self.leaf = ranks, leaf
         self.bytes_of = {v: k for k, v in ranks.items()}
-        self._stable: Memo = Memo(lambda p: self.merge(self.bytes_of[p[0]] + self.bytes_of[p[1]]) == p)
+        self._window: Memo = Memo(lambda tokens: self.merge(self.decode(tokens)))
         self._tree: Memo = Memo(self._encode)
 
     def merge(self, data: bytes) -> tuple[int, ...]:
         """Encoding by definition: merge the leftmost pair of least rank while there is one."""
-        ranks = self.ranks
+        rank_of = self.ranks.get
         parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                rank = ranks.get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
+        pairs = [rank_of(a + b, NONE) for a, b in zip(parts, parts[1:])]
+        while pairs:
+            best = min(pairs)
+            if best == NONE:
                 break
+            at = pairs.index(best)
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return tuple(ranks[p] for p in parts)
+            del pairs[at]
+            if at:
+                pairs[at - 1] = rank_of(parts[at - 1] + parts[at], NONE)
+            if at < len(pairs):
+                pairs[at] = rank_of(parts[at] + parts[at + 1], NONE)
+        return tuple([self.ranks[p] for p in parts])
+
+    def stable(self, left: int, right: int) -> bool:
+        """Whether two neighbours are the encoding of their own bytes."""
+        return self._window[left, right] == (left, right)
 
     def join(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
         """The encoding of both halves together, from the encodings of each."""
         if not left or not right:
             return left or right
-        stable, bytes_of = self._stable, self.bytes_of
-        if stable[left[-1], right[0]]:
-            return left + right
         i = j = 1
         while True:
-            window = self.merge(b"".join([bytes_of[t] for t in left[-i:] + right[:j]]))
-            open_left = i < len(left) and not stable[left[-i - 1], window[0]]
-            open_right = j < len(right) and not stable[window[-1], right[j]]
+            window = self._window[left[-i:] + right[:j]]
+            open_left = i < len(left) and not self.stable(left[-i - 1], window[0])
+            open_right = j < len(right) and not self.stable(window[-1], right[j])
             if not open_left and not open_right:
                 return left[:-i] + window + right[j:]
             i, j = min(len(left), i * 2) if open_left else i, min(len(right), j * 2) if open_right else j
@@ -110,10 +115,13 @@ class Codec:
         return b"".join([self.bytes_of[i] for i in ids])
 
 
+ASCII, BASIC = 0x7F, 0xFFFF
+
+
 @cache
-def letters() -> tuple[str, str]:
-    """Bodies of character classes of all letters and of all numbers, as ranges."""
-    every = "".join(map(chr, range(sys.maxunicode + 1)))
+def letters(last: int) -> tuple[str, str]:
+    """Bodies of character classes of all letters and of all numbers up to code point ``last``."""
+    every = "".join(map(chr, range(last + 1)))
 
     def ranges(kind: str) -> str:
         return "".join(f"\\U{m.start():08x}-\\U{m.end() - 1:08x}" for m in regex.finditer(rf"\p{{{kind}}}+", every))
@@ -125,15 +133,17 @@ SPACE = r"\t-\r \x85\xa0  -     　"
 
 
 @cache
-def splitter(pattern: str):
-    """findall of ``pattern``; its classes spelt out for ``re``, which is several times faster.
+def splitter(pattern: str, last: int = sys.maxunicode):
+    """findall of ``pattern`` for texts of code points up to ``last``.
 
-    Patterns that use more than \\p{L}, \\p{N}, \\s and \\S keep the regex module.
+    Its classes are spelt out for ``re``, which is several times faster and
+    fastest where they are small. Patterns that use more than \\p{L}, \\p{N},
+    \\s and \\S keep the regex module.
     """
     plain = pattern.replace(r"\p{L}", "").replace(r"\p{N}", "")
     if r"\p" in plain or r"\w" in plain or r"\d" in plain or "(?i" in plain:
         return regex.compile(pattern).findall
-    l, n = letters()
+    l, n = letters(last)
     out, inside, i = [], False, 0
     while i < len(pattern):
         two, one = pattern[i:i + 2], pattern[i]
@@ -167,10 +177,17 @@ class TextCoder:
     """Whole texts: the pieces of the pattern, each through the tree, side by side."""
 
     def __init__(self, path: str, pattern: str) -> None:
-        self.codec, self.pieces = codec(path), splitter(pattern)
+        self.codec = codec(path)
+        self.ascii, self.basic, self.whole = (splitter(pattern, n) for n in (ASCII, BASIC, sys.maxunicode))
         self.packed = Memo(lambda piece: _pack(self.codec.encode(piece.encode())))
         self.spelt = Memo(lambda packed: self.codec.decode(memoryview(packed).cast("I")))
 
+    def pieces(self, text: str) -> list[str]:
+        """The matches of the pattern."""
+        if text.isascii():
+            return self.ascii(text)
+        return (self.basic if len(text.encode("utf-16-le")) == 2 * len(text) else self.whole)(text)
+
     def encode(self, text: str) -> list[bytes]:
         """Little-endian unsigned 32-bit ids, piece by piece."""
         packed = self.packed
