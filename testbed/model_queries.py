@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 from operator import or_
+from uuid import uuid4
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from riskfeat.operators.folds import SEED, split_by_label, stratified_folds
 from riskfeat.plans import columns as names
-from riskfeat.plans import ensemble
+from riskfeat.plans import ensemble, jobs
 from riskfeat.plans.application import application_rows
 from riskfeat.plans.auxiliary import event_level_features
 from riskfeat.plans.installments import installments_features
@@ -27,6 +28,7 @@ from riskfeat.plans.training import (
 )
 from riskfeat.session import cut_lineage
 from riskfeat.sources.sinks import prediction_rows
+from riskfeat.sources.tables import write_table
 from testbed.feature_queries import cleaned_sql
 from testbed.operator_queries import fold_sql
 from testbed.registry import query, rounded, with_ctes
@@ -257,3 +259,29 @@ def weight_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ensemble.dirichlet_search(labelled, models, "TARGET", draws=len(_DRAWS))
     table = spark.createDataFrame([(float(w[0]), float(w[1]), float(a)) for a, w in found], "length double, variety double, auc double")
     return rounded(table).withColumn("auc", F.round("auc", 4))
+
+
+# ---------------------------------------------------------------- the jobs one after the other
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder under the session's checkpoint folder."""
+    cut_lineage(spark.range(1))  # sets the folder where none is
+    return f"{spark.sparkContext.getCheckpointDir()}/jobs-{uuid4().hex}"
+
+
+@query(f"SELECT {ID}, true AS scored FROM ({_APP_SQL}) WHERE TARGET IS NULL")
+def scored_file_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folds, two models, their blend and the scored file, each job reading what the last has stored."""
+    out = scratch(spark)
+    matrix = training_matrix(spark, sf_dir).drop("fold_main")
+    write_table(matrix.drop("ORGANIZATION_TYPE"), out, "main")
+    write_table(matrix, out, "catboost")
+    jobs.fold_job(matrix, out, folds=_FOLDS, tolerance=0.05)
+    jobs.train_job(spark, out, out, learner("xgb", **_QUICK), folds=_FOLDS)
+    jobs.train_job(spark, out, out, learner("catboost", **_QUICK), FoldColumns(target_encode=("ORGANIZATION_TYPE",)), folds=_FOLDS)
+    result = jobs.ensemble_job(spark, out, matrix.select(ID, "TARGET"), draws=40, rounds=3)
+    _, ids = split_by_label(matrix.select(ID, "TARGET"), "TARGET")
+    path = jobs.submit_job(spark, out, ids, oof_auc=result["oof_auc"])
+    scored = spark.read.option("header", True).schema(f"{ID} bigint, TARGET double").csv(path)
+    return scored.select(ID, F.col("TARGET").between(0, 1).alias("scored"))
