@@ -129,7 +129,9 @@ def _add_codes(
     rows = collect_bounded(known, max_rows) if max_rows > 0 else None
     codes = None
     if rows is None:
-        codes = ordinals(known, "value", F.substring("value", 1, 2), by="column", out="code")
+        # numbered in ranges of the sorted values, which no common prefix can make uneven
+        ranged = cut_lineage(known.repartitionByRange("column", "value").withColumn("_range", F.spark_partition_id()))
+        codes = ordinals(ranged, "value", F.col("_range"), by="column", out="code")
     out = df
     found: dict[str, Column] = {}
     for c in columns:

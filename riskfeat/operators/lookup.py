@@ -85,7 +85,7 @@ def attach(
             answered = answered | F.col(k).isNull()
     # a salt other than 0 matches nothing: it only spreads the answered rows
     step = step.withColumn(
-        "_salt", F.when(answered, 1 + F.pmod(F.xxhash64(*rows.columns), F.lit(1_000_003)))
+        "_salt", F.when(answered, 1 + F.pmod(F.monotonically_increasing_id(), F.lit(1_000_003)))
         .otherwise(F.lit(0).cast("bigint")),
     )
     cold = _prefixed(table.select(*on, F.struct(*values).alias("_cold")), on).withColumn(

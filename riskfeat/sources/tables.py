@@ -222,7 +222,7 @@ def cluster_rows(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
     spread = attach(df, counts, key, weight="_rows")
     pieces = F.ceil(F.coalesce(F.col("_rows"), F.lit(1)) / F.lit(hot_rows)).cast("bigint")
-    salted = spread.withColumn("_piece", F.pmod(F.xxhash64(*df.columns), pieces))
+    salted = spread.withColumn("_piece", F.pmod(F.monotonically_increasing_id(), pieces))  # equal rows part too
     return salted.repartition(key, "_piece").sortWithinPartitions(key).drop("_rows", "_piece")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskfeat.functions.columns import numeric_columns
 from riskfeat.operators import checks, encode, folds, knn, profile, prune, rank
 from riskfeat.operators.aggspec import ROWS, Block, aggregate_blocks, distinct_counts, stats_of
+from riskfeat.plans import extras
 from riskfeat.plans.assemble import join_features
 from riskfeat.plans.auxiliary import rollup_predictions
 from riskfeat.plans.ensemble import rank_blend, wide_predictions
@@ -602,3 +603,41 @@ def joined_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The label and all columns of all six builders, one row per entity."""
     application_, *others = (cut_lineage(QUERIES[n](spark, sf_dir)) for n in _SIX)
     return join_features(application(spark, sf_dir).select(ID, "TARGET"), application_, others)
+
+
+# ------------------------------------------------------- groups beyond the builders
+
+_STATUSES = ("Active", "Completed", "Signed")
+
+
+@query(with_ctes([("card", role_sql("credit_card_balance"))], f"SELECT {ID}, " + ", ".join(rounded_sql(
+    f"avg(CAST(coalesce(NAME_CONTRACT_STATUS = '{v}', false) AS INT))", f"CC_NAME_CONTRACT_STATUS_{v}_RATE") for v in _STATUSES)
+    + f" FROM card GROUP BY {ID}"))
+def card_category_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(extras.category_shares(role(spark, sf_dir, "credit_card_balance"), "NAME_CONTRACT_STATUS", _STATUSES, "CC"))
+
+
+_CROSS = f"SELECT * FROM ({_APP}) a JOIN ({ORACLES['installments_table']}) i USING ({ID}) JOIN ({ORACLES['pos_table']}) p USING ({ID})"
+
+
+@query(f"SELECT {ID}, " + ", ".join(rounded_sql(e, n) for n, e in {
+    "X_INS_PAYMENT_TO_ANNUITY": "INS_AMT_PAYMENT_MEAN / nullif(AMT_ANNUITY, 0)", "X_INS_PAYMENT_TO_INCOME": "INS_AMT_PAYMENT_SUM / nullif(AMT_INCOME_TOTAL, 0)",
+    "X_POS_COUNT_TO_INS_COUNT": "POS_COUNT / nullif(INS_COUNT, 0)"}.items())
+    + f" FROM ({_CROSS})")
+def cross_table_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    app = application(spark, sf_dir)
+    joined = app.join(QUERIES["installments_table"](spark, sf_dir), ID).join(QUERIES["pos_table"](spark, sf_dir), ID)
+    return rounded(joined.select(ID, *[e.alias(n) for n, e in extras.cross_terms(joined).items() if "DPD" not in n]))
+
+
+_SIDE_RANK = ("(rank() OVER (PARTITION BY fresh ORDER BY v) - 1 + (count(*) OVER (PARTITION BY fresh, v) - 1) / 2.0)"
+              " / (count(*) OVER (PARTITION BY fresh) - 1)")
+
+
+@query("SELECT event_id, fresh, " + rounded_sql(_SIDE_RANK, "v") + " FROM (SELECT event_id, CAST(event_id % 4 = 0 AS INT) AS fresh, "
+       "CASE WHEN event_id % 4 = 0 THEN value + 500 ELSE value END AS v FROM events)")
+def drift_rank_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column shifted on one side is found to drift and replaced by its rank."""
+    rows = load(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 4 == 0).cast("int").alias("fresh"), F.when(
+        F.col("event_id") % 4 == 0, F.col("value") + 500).otherwise(F.col("value")).alias("v"))
+    return rounded(extras.rank_transform(rows, extras.drifting_columns(rows, ["v"], "fresh"), "fresh"))

@@ -124,6 +124,7 @@ POS = {
 CARD = {
     "SK_ID_PREV": "user_id",
     "SK_ID_CURR": "user_id",
+    "NAME_CONTRACT_STATUS": "case event_type when 'view' then 'Active' when 'click' then 'Completed' when 'error' then 'Signed' end",
     "MONTHS_BALANCE": _num("MONTHS(ts)"),
     "AMT_BALANCE": _num("floor(value * 50)"),
     "AMT_CREDIT_LIMIT_ACTUAL": _num(f"{_K} * 100"),
