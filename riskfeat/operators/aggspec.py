@@ -117,14 +117,14 @@ def _tagged(df: DataFrame, keys: Sequence[str], blocks: Sequence[Block]) -> Data
         .groupBy(*keys, _TAG)
         .agg(*[_plain(Stat("", fn, c), n) for (fn, c), n in wanted.items()])
     )
-    # one struct per block and key: folding structs keeps the second aggregate
-    # as narrow as the number of blocks
-    folds = []
-    for i, b in enumerate(blocks):
-        fields = ", ".join(dict.fromkeys(wanted[s.fn, s.column] for s in b.stats))
-        folds.append(F.expr(f"max_by(struct({fields}), CASE WHEN {_TAG} = {i} THEN 1 END) AS b{i}"))
+    # a key has one row per block, so max picks that block's value; plain numbers keep both
+    # aggregates hash-based
+    folds = [
+        F.expr(f"max(CASE WHEN {_TAG} = {i} THEN {f} END) AS b{i}_{f}")
+        for i, b in enumerate(blocks) for f in dict.fromkeys(wanted[s.fn, s.column] for s in b.stats)
+    ]
     return by_block.groupBy(*keys).agg(*folds).selectExpr(*map(quoted, keys), *[
-        f"b{i}.{wanted[s.fn, s.column]} AS {quoted(b.name(s))}"
+        f"b{i}_{wanted[s.fn, s.column]} AS {quoted(b.name(s))}"
         for i, b in enumerate(blocks) for s in b.stats
     ])
 
