@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -31,6 +32,7 @@ KINDS = ("email", "ip", "card", "phone")
 MIN_TEXTS = 3
 GENERALISE = 0.9
 REMOVE = 0.97
+_HELD = 1 << 18
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -114,19 +116,40 @@ def _entities(text: pa.Array) -> pa.Array:
     return pa.array(found, pa.list_(pa.string()))
 
 
-def _terms_among(known: frozenset[str] | None) -> Callable[[Column], Column]:
-    """Column function: the distinct terms of a text, of those in ``known`` if given."""
+def _terms(text: str | None) -> set[str]:
+    t = text or ""
+    spans = base_spans(t)
+    return set(_TERM.findall((_blanked(t, spans) if spans else t).lower()))
+
+
+@F.arrow_udf(ArrayType(StringType()))
+def _distinct_terms(text: pa.Array) -> pa.Array:
+    return pa.array([sorted(_terms(v.as_py())) or None for v in text], pa.list_(pa.string()))
+
+
+def _term_counts(known: frozenset[str] | None) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(term, n): in how many texts of a task each term stands, of those in ``known`` if given.
+
+    A task adds up in memory and gives out what it has when that gets large, so
+    a term costs a row a task and not a row a text.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+
+        def given() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_pydict({"term": list(counts), "n": list(counts.values())}, pa.schema(
+                [("term", pa.string()), ("n", pa.int64())]))
+            counts.clear()
+            return batch
 
-    @F.arrow_udf(ArrayType(StringType()))
-    def run(text: pa.Array) -> pa.Array:
-        found = []
-        for v in text:
-            t = v.as_py() or ""
-            spans = base_spans(t)
-            have = set(_TERM.findall((_blanked(t, spans) if spans else t).lower()))
-            have = have & known if known is not None else have
-            found.append(sorted(have) or None)
-        return pa.array(found, pa.list_(pa.string()))
+        for batch in batches:
+            for v in batch.column("text"):
+                have = _terms(v.as_py())
+                counts.update(have & known if known is not None else have)
+                if len(counts) > _HELD:
+                    yield given()
+        yield given()
 
     return run
 
@@ -151,7 +174,7 @@ def term_disclosure(docs: DataFrame, min_texts: int = MIN_TEXTS, floor: float =
     small = as_small_table(wanted, BROADCAST_ROWS)
     few = texts.join(wanted if small is None else F.broadcast(small), "key").groupBy("key", "copies").agg(
         F.any_value("text").alias("text"))
-    found = few.select("key", "copies", F.explode(_terms_among(None)(F.col("text"))).alias("term"))
+    found = few.select("key", "copies", F.explode(_distinct_terms("text")).alias("term"))
     together = found.join(pairs.select("key", "entity", "n_e"), "key").groupBy("entity", "n_e", "term").agg(
         F.sum("copies").alias("n_et"), F.count("*").alias("texts")).where(F.col("texts") >= min_texts)
     together = cut_lineage(together.drop("texts"))
@@ -159,8 +182,8 @@ def term_disclosure(docs: DataFrame, min_texts: int = MIN_TEXTS, floor: float =
     candidates = together.select("term").distinct()
     rows = collect_bounded(candidates, BROADCAST_ROWS)
     among = frozenset(r["term"] for r in rows) if rows is not None else None
-    seen = docs.select(F.explode(_terms_among(among)(F.col("text"))).alias("term")).groupBy("term").agg(
-        F.count("*").alias("n_t"))
+    seen = docs.select("text").mapInArrow(_term_counts(among), "term string, n bigint").groupBy("term").agg(
+        F.sum("n").alias("n_t"))
     bits = F.log2(F.lit(float(total)) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
     share = bits / F.log2(F.lit(float(total)) / F.col("n_e"))
     return together.join(seen, "term").groupBy("term").agg(F.max(share).alias("disclosure")).where(
@@ -224,7 +247,7 @@ def sanitise(docs: DataFrame, remove: float = REMOVE, **thresholds: float) -> Da
 
     # too many terms for one map: each text gets those that occur in it
     key, per = spare("text_key", docs.columns), spare("per_text", docs.columns)
-    pairs = docs.select(F.xxhash64("text").alias("_key"), F.explode(_terms_among(None)(F.col("text"))).alias("term"))
+    pairs = docs.select(F.xxhash64("text").alias("_key"), F.explode(_distinct_terms("text")).alias("term"))
     lists = pairs.distinct().join(revealing, "term").groupBy("_key").agg(
         F.collect_list("term").alias("_terms"), F.collect_list("disclosure").alias("_shares"))
 
