@@ -28,7 +28,7 @@ from riskfeat.plans.training import (
 )
 from riskfeat.session import cut_lineage
 from riskfeat.sources.sinks import prediction_rows
-from riskfeat.sources.tables import write_table
+from riskfeat.sources.tables import read_csv, write_table
 from testbed.feature_queries import cleaned_sql
 from testbed.operator_queries import fold_sql
 from testbed.registry import query, rounded, with_ctes
@@ -285,3 +285,12 @@ def scored_file_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = jobs.submit_job(spark, out, ids, oof_auc=result["oof_auc"])
     scored = spark.read.option("header", True).schema(f"{ID} bigint, TARGET double").csv(path)
     return scored.select(ID, F.col("TARGET").between(0, 1).alias("scored"))
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders")
+def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders through a CSV file with an explicit schema, two of its three columns read."""
+    path = scratch(spark)
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    orders.write.option("header", True).csv(path)
+    return read_csv(spark, path, orders.schema).select("o_orderkey", "o_totalprice")
