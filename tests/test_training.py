@@ -201,3 +201,11 @@ def test_stacking(scored):
     lift = ensemble.lift_over_best(ensemble.model_aucs(both, labels.filter("TARGET IS NOT NULL")), "stack").first()
     assert lift["auc"] == pytest.approx(auc) and lift["lift"] > 0 and lift["best_model"] in ("good", "other")
     assert len(fold_aucs) == 3
+
+
+def test_weights_become_repeats(spark):
+    df = spark.range(3000).withColumn(training.WEIGHT, F.when(F.col("id") % 2 == 0, 2.5).otherwise(1.0))
+    counts = training.resampled(df, "id").groupBy((F.col("id") % 2).alias("odd")).count().collect()
+    got = {r["odd"]: r["count"] for r in counts}
+    assert got[1] == 1500 and got[0] == pytest.approx(2.5 * 1500, rel=0.05)
+    assert training.resampled(df, "id").exceptAll(training.resampled(df.repartition(7), "id")).isEmpty()
