@@ -70,3 +70,25 @@ def test_odd_documents(odd, nothing):
         assert r["base_failed"] or r["n_words"] >= 10
     assert next(r for r in got if r["doc_id"] == 6)["n_repeat_words"] == 30_000
     assert rules.judged(nothing).count() == 0
+
+
+def test_each_rate_alone_rejects_an_outlier(spark):
+    rng = random.Random(5)
+
+    def words(n, size=5):
+        return ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(size)) for _ in range(n)]
+
+    rows = [(i, "\n".join(" ".join(words(20)) for _ in range(5)), "en", "a") for i in range(300)]
+    again = words(6)
+    rows += [(1000, " ".join(words(100, 12)), "en", "a"),  # long words
+             (1001, " ".join(w + "#" for w in words(100, 4)), "en", "a"),  # a fifth symbols
+             (1002, "\n".join(line for _ in range(6) for line in (" ".join(words(20)), "Menu")), "en", "a"),  # 5 of 12 lines
+             (1003, " ".join([*again, *words(60), *again, *words(8)]), "en", "a")]  # 15 % of the words
+    got = {r["doc_id"]: r for r in rules.judged(frame(spark, rows)).collect()}
+    assert all(r["kept"] for i, r in got.items() if i < 1000)
+    for i, name in zip(range(1000, 1004), rules.RATES):
+        r = got[i]
+        assert not r["base_failed"] and not r["kept"], name
+        beyond = {k for k, (above, factor, below, _, _) in rules.RATES.items()
+                  if not r[f"low_{k}"] <= r[above] * factor // r[below] <= r[f"high_{k}"]}
+        assert beyond == {name}
