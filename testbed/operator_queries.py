@@ -9,6 +9,7 @@ from riskfeat.functions.columns import numeric_columns
 from riskfeat.operators import checks, encode, folds, knn, profile, prune, rank
 from riskfeat.operators.aggspec import ROWS, Block, aggregate_blocks, distinct_counts, stats_of
 from riskfeat.plans import extras
+from riskfeat.plans.application import application_rows
 from riskfeat.plans.assemble import join_features
 from riskfeat.plans.auxiliary import rollup_predictions
 from riskfeat.plans.ensemble import rank_blend, wide_predictions
@@ -17,10 +18,10 @@ from riskfeat.plans.balances import pos_features, recency_weighted_lateness
 from riskfeat.session import cut_lineage
 from riskfeat.sources.sinks import constant_scores, fold_table, mean_over_folds, scored_rows
 from riskfeat.sources.tables import CATALOG, clean
-from testbed.feature_queries import _PAYMENT_CTES, _PAYMENT_STATS, block_sql, cleaned_sql
+from testbed.feature_queries import _PAYMENT_CTES, _PAYMENT_STATS, _POS_STATS, block_sql, cleaned_sql
 from testbed.registry import ORACLES, QUERIES, query, rounded, rounded_sql, with_ctes
 from testbed.roles import BUREAU, load, role, role_sql
-from testbed.row_queries import ID, application
+from testbed.row_queries import _MEAN, _TERM, ID, application
 
 _APP = cleaned_sql("application_train")
 _LABELLED_DOCS = "SELECT doc_id, quality, toxic, lang, source, n_chars FROM labels JOIN documents USING (doc_id)"
@@ -617,17 +618,22 @@ def card_category_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(extras.category_shares(role(spark, sf_dir, "credit_card_balance"), "NAME_CONTRACT_STATUS", _STATUSES, "CC"))
 
 
-_CROSS = f"SELECT * FROM ({_APP}) a JOIN ({ORACLES['installments_table']}) i USING ({ID}) JOIN ({ORACLES['pos_table']}) p USING ({ID})"
+_CROSS = [*_PAYMENT_CTES, ("pos", role_sql("pos_cash_balance")), ("i", block_sql("pay", "INS", _PAYMENT_STATS)), ("p", block_sql("pos", "POS", _POS_STATS)),
+          ("a", f"SELECT *, {_TERM} AS APP_CREDIT_TERM, {_MEAN} AS APP_EXT_MEAN FROM ({_APP})")]
 
 
-@query(f"SELECT {ID}, " + ", ".join(rounded_sql(e, n) for n, e in {
+@query(with_ctes(_CROSS, f"SELECT {ID}, " + ", ".join(rounded_sql(e, n) for n, e in {
     "X_INS_PAYMENT_TO_ANNUITY": "INS_AMT_PAYMENT_MEAN / nullif(AMT_ANNUITY, 0)", "X_INS_PAYMENT_TO_INCOME": "INS_AMT_PAYMENT_SUM / nullif(AMT_INCOME_TOTAL, 0)",
+    "X_INS_LATE_BY_EXT_MEAN": "INS_LATE_RATE / nullif(APP_EXT_MEAN, 0)", "X_INS_DPD_BY_CREDIT_TERM": "INS_DPD_MEAN / nullif(APP_CREDIT_TERM, 0)",
+    "X_INS_DPD_POS_DPD": "INS_DPD_MEAN * POS_SK_DPD_MEAN", "X_POS_DPD_BY_EXT_MEAN": "POS_SK_DPD_MEAN / nullif(APP_EXT_MEAN, 0)",
     "X_POS_COUNT_TO_INS_COUNT": "POS_COUNT / nullif(INS_COUNT, 0)"}.items())
-    + f" FROM ({_CROSS})")
+    + f" FROM a LEFT JOIN i USING ({ID}) LEFT JOIN p USING ({ID})"))
 def cross_table_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    app = application(spark, sf_dir)
-    joined = app.join(QUERIES["installments_table"](spark, sf_dir), ID).join(QUERIES["pos_table"](spark, sf_dir), ID)
-    return rounded(joined.select(ID, *[e.alias(n) for n, e in extras.cross_terms(joined).items() if "DPD" not in n]))
+    """All terms for every customer, NULL where a table has no rows of theirs."""
+    app = application_rows(application(spark, sf_dir))
+    joined = app.join(installments_features(role(spark, sf_dir, "installments_payments")), ID, "left").join(
+        pos_features(role(spark, sf_dir, "pos_cash_balance")), ID, "left")
+    return rounded(joined.select(ID, *[e.alias(n) for n, e in extras.cross_terms(joined).items()]))
 
 
 _SIDE_RANK = ("(rank() OVER (PARTITION BY fresh ORDER BY v) - 1 + (count(*) OVER (PARTITION BY fresh, v) - 1) / 2.0)"
