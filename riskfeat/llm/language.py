@@ -28,6 +28,7 @@ UNKNOWN = "und"
 MAX_LANGUAGES = 4096
 _SLAB = 1 << 20
 _BITS = 21  # bits of a code point
+_EDGE = 32  # code of a word boundary: the space, so that no n-gram with one equals a shorter n-gram
 _HELD = 1 << 19
 
 
@@ -58,6 +59,7 @@ def grams(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
         return None
     edge = np.zeros(1, np.int64)
     letters = np.concatenate((edge[: int(letters[0] > 0)], letters, edge[: int(letters[-1] > 0)]))
+    letters[letters == 0] = _EDGE
     codes, counts = np.empty(0, np.int64), np.empty(0, np.int64)
     for start in range(0, len(letters), _SLAB):
         part = letters[start:start + _SLAB + max(GRAMS) - 1]
@@ -69,7 +71,7 @@ def grams(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
             code = np.zeros(stop, np.int64)
             for k in range(n):
                 code = (code << _BITS) | part[k:k + stop]
-            found.append(code[code > 0])
+            found.append(code[code != _EDGE])  # a boundary alone says nothing
         c, m = np.unique(np.concatenate(found), return_counts=True)
         codes, back = np.unique(np.concatenate((codes, c)), return_inverse=True) if len(codes) else (c, None)
         counts = m if back is None else np.bincount(back, np.concatenate((counts, m))).astype(np.int64)

@@ -36,6 +36,14 @@ def test_grams_of_texts(monkeypatch):
     assert language.grams("12 !") is language.grams("") is language.grams(None) is None
 
 
+def test_each_gram_has_its_own_code(monkeypatch):
+    for slab in (1 << 20, 7):
+        monkeypatch.setattr(language, "_SLAB", slab)
+        for text in ("the hat, a bath", "A b", "x", "中文字 and 😀 text"):
+            codes, counts = language.grams(text)
+            assert {spelt(c): n for c, n in zip(codes.tolist(), counts.tolist())} == dict(plain(text)), text
+
+
 def test_out_of_place_distance():
     a, b = language.top(*language.grams("aaa aab"), 5), language.top(*language.grams("zzz zzy"), 5)
     judge = language.Judge({"a": a, "z": b}, 5)
