@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import bytepair, chat, language, mixing, privacy, quality, rules, simhash, urls, vectors
+from riskfeat.llm import bytepair, chat, language, manifest, mixing, privacy, quality, rules, simhash, urls, vectors
 from riskfeat.llm.common import whole_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,11 @@ def op5_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op5_perspective_rotation"] = chat.SQL
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"), tampered=manifest.lowered())
+
+
+ORACLES["op13_merkle_manifest"] = manifest.SQL
