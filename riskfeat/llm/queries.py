@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import bytepair, chat, language, manifest, mixing, privacy, quality, rules, simhash, urls, vectors
+from riskfeat.llm import (
+    bytepair, chat, language, manifest, mixing, negatives, privacy, quality, rules, simhash, urls, vectors,
+)
 from riskfeat.llm.common import whole_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +106,11 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_merkle_manifest"] = manifest.SQL
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_hard_negatives"] = negatives.SQL
