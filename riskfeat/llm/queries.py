@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskfeat.llm import (
-    bytepair, chat, language, manifest, mixing, negatives, privacy, quality, rules, simhash, urls, vectors,
+    bytepair, chat, language, manifest, mixing, negatives, privacy, quality, rules, simhash, urls, vectors, wrappers,
 )
 from riskfeat.llm.common import whole_texts
 
@@ -114,3 +114,9 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_hard_negatives"] = negatives.SQL
+
+
+@query
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = wrappers.extracted(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
