@@ -188,17 +188,20 @@ def refine_weights(
     return float(sharp[best]), candidates[best]
 
 
-def log_blends(spark, path: str, models: Sequence[str], scored: Scored, top: int = 10) -> None:
+def log_blends(
+    spark, path: str, models: Sequence[str], scored: Scored, top: int = 10, run: str | None = None,
+) -> None:
     stamp = now()
     append_ledger(spark, path, ENSEMBLE_LEDGER, [
         (stamp, ",".join(models), ",".join(f"{x:.6f}" for x in w), float(auc), None, None)
         for auc, w in scored[:top]
-    ])
+    ], run)
 
 
 def run_ensemble(
     predictions: DataFrame, labels: DataFrame, models: Sequence[str] | None = None, key: str = ENTITY,
     label: str = LABEL, draws: int = DRAWS, rounds: int = 30, ledger: str | None = None, seed: int = SEED,
+    run: str | None = None,
 ) -> dict[str, object]:
     """Search, refine, log, and blend both splits with the refined weights."""
     models = list(models or known_models(predictions))
@@ -214,7 +217,7 @@ def run_ensemble(
     auc, weights = refine_weights([w for _, w in grid[:STARTS]], labelled, models, label, rounds)
     ranking = sorted([*grid, (auc, weights)], key=lambda p: -p[0])
     if ledger is not None:
-        log_blends(predictions.sparkSession, ledger, models, ranking)
+        log_blends(predictions.sparkSession, ledger, models, ranking, run=run)
     blend = weighted(models, weights)
     return {
         "models": models, "weights": [float(w) for w in weights], "oof_auc": auc,

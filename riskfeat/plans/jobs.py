@@ -29,7 +29,10 @@ from riskfeat.sources.sinks import (
 )
 from riskfeat.sources.tables import ENTITY, LABEL, read_table, write_table
 
-SUMMARY = "timestamp string, model string, matrix string, oof_auc double, fold_aucs_csv string, warnings string"
+SUMMARY = (
+    "timestamp string, model string, matrix string, oof_auc double, fold_aucs_csv string, warnings string, "
+    "best_rounds_csv string"
+)
 
 
 def aligned(left: DataFrame, right: DataFrame, key: str, what: str) -> None:
@@ -56,9 +59,13 @@ def fold_job(
 
 def train_job(
     spark: SparkSession, features: str, out: str, model: str | Learner, spec: FoldColumns = FoldColumns(),
-    key: str = ENTITY, label: str = LABEL, folds: int = FOLDS, **options: object,
+    key: str = ENTITY, label: str = LABEL, folds: int = FOLDS, run: str | None = None, **options: object,
 ) -> float:
-    """Train one model on the matrix that it names and on the stored folds; returns its AUC."""
+    """Train one model on the matrix that it names and on the stored folds; returns its AUC.
+
+    Its line in the summary tells the AUC and the boosting rounds of each fold.
+    A job repeated with the same ``run`` replaces its own line.
+    """
     made = learner(model) if isinstance(model, str) else model
     matrix, stored = read_table(spark, features, made.matrix), read_table(spark, out, "folds")
     aligned(stored, split_by_label(matrix, label)[0], key, "folds and labelled rows of the matrix")
@@ -76,7 +83,8 @@ def train_job(
         write_table(fold_table(long, key, "fold", made_columns[0], folds), out, f"fold_values_{made.name}")
     append_ledger(spark, f"{out}/summary", SUMMARY, [(
         now(), made.name, made.matrix, result.oof_auc,
-        ",".join("" if a is None else f"{a:.6f}" for a in result.fold_aucs), "; ".join(result.warnings))])
+        ",".join("" if a is None else f"{a:.6f}" for a in result.fold_aucs), "; ".join(result.warnings),
+        ",".join("" if n is None else str(n) for n in result.best_rounds))], run=run and f"{run}-{made.name}")
     return result.oof_auc
 
 
@@ -98,13 +106,14 @@ def ensemble_job(
 
 def submit_job(
     spark: SparkSession, out: str, ids: DataFrame, model: str = "ensemble", oof_auc: float | None = None, key: str = ENTITY,
+    run: str | None = None,
 ) -> str:
     """The scored file of one stored model, noted in the ledger; returns its path."""
     stored = load_predictions(spark, f"{out}/predictions")
     mine = stored.filter((F.col("model") == model) & (F.col("split") == "score"))
     scores = mine.groupBy(key).agg(F.avg("pred").alias("pred"))
     aligned(scores, ids, key, "predictions and rows to score")
-    return write_scored(ids, scores, f"{out}/scored", model, model, oof_auc, f"{out}/submission_ledger", key)
+    return write_scored(ids, scores, f"{out}/scored", model, model, oof_auc, f"{out}/submission_ledger", key, run)
 
 
 def best_model(spark: SparkSession, out: str) -> str:

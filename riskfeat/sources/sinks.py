@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import UTC, datetime
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,13 +12,16 @@ from pyspark.sql import functions as F
 from riskfeat.operators.folds import duplicate_keys
 from riskfeat.sources.tables import ENTITY, LABEL
 
+RUN = "run_id"
+
 # Ledger columns.
 SUBMISSION_LEDGER = (
     "timestamp string, filename string, label string, source string, oof_auc double, "
     "public_lb double, private_lb double, notes string"
 )
 TUNING_LEDGER = (
-    "timestamp string, model string, trial int, oof_auc double, fold_aucs_csv string, params_json string"
+    "timestamp string, model string, trial int, oof_auc double, fold_aucs_csv string, params_json string, "
+    "rung int, rounds int"
 )
 ENSEMBLE_LEDGER = (
     "timestamp string, models_csv string, weights_csv string, oof_auc double, public_lb double, "
@@ -71,12 +75,20 @@ def fold_table(values: DataFrame, key: str, fold: str, value: str, folds: int) -
 # ----------------------------------------------------------------- ledgers
 
 
-def append_ledger(spark: SparkSession, path: str, schema: str, rows: Sequence[tuple]) -> None:
-    spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(path)
+def append_ledger(spark: SparkSession, path: str, schema: str, rows: Sequence[tuple], run: str | None = None) -> None:
+    """Add lines under the id of a run.
+
+    A run is one partition and overwrites only its own, so a job that is
+    repeated with its id, by hand or after a lost driver, leaves its lines once.
+    Without an id every call is a run of its own.
+    """
+    lines = spark.createDataFrame(list(rows), schema).withColumn(RUN, F.lit(run or uuid4().hex))
+    lines.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN).parquet(path)
 
 
 def read_ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    """All lines, with the run that wrote them in ``run_id``."""
+    return spark.read.schema(f"{schema}, {RUN} string").parquet(path)
 
 
 # -------------------------------------------------------------- scored file
@@ -95,7 +107,7 @@ def scored_rows(ids: DataFrame, predictions: DataFrame, key: str = ENTITY, label
 
 def write_scored(
     ids: DataFrame, predictions: DataFrame, folder: str, source: str, label: str = "blend",
-    oof_auc: float | None = None, ledger: str | None = None, key: str = ENTITY,
+    oof_auc: float | None = None, ledger: str | None = None, key: str = ENTITY, run: str | None = None,
 ) -> str:
     """CSV with a header under a name that tells time, label and AUC; noted in the ledger."""
     stamp = datetime.now().strftime("%Y%m%d_%H%M%S")
@@ -104,7 +116,7 @@ def write_scored(
     scored_rows(ids, predictions, key).write.option("header", True).csv(f"{folder}/{name}")
     if ledger is not None:
         append_ledger(ids.sparkSession, ledger, SUBMISSION_LEDGER,
-                      [(now(), name, label, source, oof_auc, None, None, "")])
+                      [(now(), name, label, source, oof_auc, None, None, "")], run)
     return f"{folder}/{name}"
 
 

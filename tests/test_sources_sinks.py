@@ -105,6 +105,18 @@ def test_scored_file_and_ledger(spark, tmp_path):
     assert log.count() == 2 and log.filter("source = 'ensemble'").first()["oof_auc"] == 0.79518
 
 
+def test_a_repeated_run_leaves_its_lines_once(spark, tmp_path):
+    path, schema = str(tmp_path / "ledger"), "model string, auc double"
+    sinks.append_ledger(spark, path, schema, [("a", 0.5), ("b", 0.6)], run="one")
+    sinks.append_ledger(spark, path, schema, [("a", 0.7)], run="two")
+    sinks.append_ledger(spark, path, schema, [("a", 0.55)], run="one")
+    sinks.append_ledger(spark, path, schema, [("c", 0.1)])
+    sinks.append_ledger(spark, path, schema, [("c", 0.1)])
+    log = sinks.read_ledger(spark, path, schema)
+    assert sorted((r["model"], r["auc"]) for r in log.collect()) == [("a", 0.55), ("a", 0.7), ("c", 0.1), ("c", 0.1)]
+    assert log.filter("run_id = 'one'").count() == 1
+
+
 @pytest.mark.parametrize("rows", [[(1, 0.1)], [(1, 0.1), (2, None)], [(1, 0.1), (2, 0.2), (3, 0.3)], [(1, 0.1), (2, 0.2), (2, 0.2)]])
 def test_scored_rows_must_line_up(spark, rows):
     ids = spark.range(1, 3).withColumnRenamed("id", "SK_ID_CURR")

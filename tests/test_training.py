@@ -66,23 +66,86 @@ def test_perceptron(matrix):
     assert result.oof_auc > 0.7
 
 
-def test_early_stopping_and_unknown_names(matrix):
-    result = training.run_oof(matrix.select("SK_ID_CURR", "TARGET", "signal", "fold_main"),
-                              training.learner("xgb", **QUICK), folds=3, early_stopping=True)
+@pytest.mark.parametrize("losses,patience,limit,best", [
+    ([3, 2, 1, 2, 2], 2, 9, 3), ([3, 2, 1, 2], 2, 9, None), ([3, 2, 1, 2], 2, 4, 3), ([3, 4, 4, 1], 2, 9, 1), ([1], 5, 1, 1),
+    ([2, 2, 2, 2], 3, 9, 1), ([3, 2, 1], 1, 9, None), ([2, 3, 1, 3, 0], 2, 9, None)])
+def test_where_patience_ends(losses, patience, limit, best):
+    assert training.stopped_at(losses, patience, limit) == best
+
+
+def prefix_losses(model, held):
+    """Log loss of every prefix, tree by tree from the trees' own predictions."""
+    rows = held.orderBy("SK_ID_CURR").collect()
+    sign, weight = np.array([2 * r["TARGET"] - 1 for r in rows]), np.array([r[training.WEIGHT] for r in rows])
+    margin, out = np.zeros(len(rows)), []
+    for tree, share in zip(model.trees, model.treeWeights):
+        margin += share * np.array([r["prediction"] for r in tree.setPredictionCol("prediction").transform(
+            held.drop("prediction")).orderBy("SK_ID_CURR").collect()])
+        out.append(float((weight * 2 * np.log1p(np.exp(-2 * sign * margin))).sum() / weight.sum()))
+    return out
+
+
+def test_boosting_stops_at_the_best_prefix(matrix, monkeypatch):
+    monkeypatch.setattr(training, "FIRST_ROUNDS", 1)
+    model = training.learner("xgb", maxDepth=4, stepSize=0.4, minInstancesPerNode=1, featureSubsetStrategy="all", maxIter=16)
+    store = training.fold_store(matrix.drop("cat"), model, folds=3)
+    vectors = training.class_weights(store.frames[0], "TARGET", 2.0)
+    fit, held = vectors.filter("TARGET IS NOT NULL AND fold_main <> 0"), vectors.filter("fold_main = 0").cache()
+    estimator = model.estimator(2)
+    cut, best = training.fit_with_patience(estimator, fit, held, 3)
+    whole = estimator.fit(fit)
+    losses = prefix_losses(whole, held)
+    assert best == training.stopped_at(losses, 3, 16) and best < 13  # it overfits within the rounds
+    assert losses[best - 1] == min(losses[:best + 3]) and cut.getNumTrees == best
+    again = model.estimator(2).setMaxIter(best).fit(fit)  # boosting is deterministic: the prefix is the shorter model
+    assert [r["probability"] for r in cut.transform(held).orderBy("SK_ID_CURR").collect()] == \
+        [r["probability"] for r in again.transform(held).orderBy("SK_ID_CURR").collect()]
+    none, rounds = training.fit_with_patience(estimator, fit, held.limit(0), 3)
+    assert rounds == 16 == none.getNumTrees
+
+
+def test_rounds_of_each_fold_and_unknown_names(matrix):
+    model = training.learner("xgb", maxIter=5000, patience=2, stepSize=0.5, maxDepth=4)
+    result = training.run_oof(matrix.select("SK_ID_CURR", "TARGET", "signal", "fold_main"), model, folds=3)
     check_predictions(result, matrix)
+    assert result.oof_auc > 0.75 and all(1 <= n < 60 for n in result.best_rounds)
     with pytest.raises(ValueError):
         training.learner("nope")
 
 
-def test_search_logs_every_trial(spark, matrix, tmp_path):
+def test_presets_stop_by_patience():
+    trees = {n: p for n, (_, kind, p) in training.PRESETS.items() if kind == "gbt"}
+    assert set(trees) == {"lgbm", "xgb", "catboost"}
+    assert all(p["maxIter"] == 5000 and p["patience"] == 200 for p in trees.values())
+
+
+@pytest.mark.parametrize("trials,rounds", [(50, 900), (9, 9), (1, 100), (7, 3), (80, 5000)])
+def test_rungs_of_halving(trials, rounds):
+    steps = training.rungs(trials, rounds, 3, 1)
+    assert steps[0][0] == trials and steps[-1][1] == rounds
+    assert all(a[0] >= b[0] >= 1 and a[1] <= b[1] for a, b in zip(steps, steps[1:]))
+
+
+def test_search_fits_the_folds_once(spark, matrix, tmp_path, monkeypatch):
+    made, plain = [], training.fold_frame
+    monkeypatch.setattr(training, "fold_frame", lambda *a, **k: made.append(1) or plain(*a, **k))
     ledger = str(tmp_path / "tuning")
     small = matrix.select("SK_ID_CURR", "TARGET", "signal", "fold_main")
-    best, params = training.random_search(spark, small, "xgb", trials=2, ledger=ledger, folds=3,
-                                          fixed=dict(maxIter=2, maxDepth=2))
+    ask = dict(trials=4, ledger=ledger, fixed=dict(maxIter=4, maxDepth=2, minInstancesPerNode=5), folds=3, least=1, run="r1")
+    found = training.halving_search(small, "xgb", **ask)
+    assert len(made) == 3  # however many trials
+    assert sorted(t.number for t in found) == list(range(4)) and all(t.oof_auc is not None for t in found)
+    assert found[0].rounds == 4 and found[0].rung == max(t.rung for t in found) and found[-1].rung == 0
     log = sinks.read_ledger(spark, ledger, sinks.TUNING_LEDGER)
-    assert log.count() == 2
+    n = log.count()
+    assert n > 4 and log.filter("rung = 0").count() == 4
     row = training.best_trial(log).first()
-    assert row["oof_auc"] == pytest.approx(best) and row["model"] == "xgb"
+    assert row["oof_auc"] == pytest.approx(found[0].oof_auc) and row["model"] == "xgb" and row["trial"] == found[0].number
+    again = training.halving_search(small, "xgb", **ask)
+    assert [(t.number, t.oof_auc) for t in again] == [(t.number, t.oof_auc) for t in found]
+    assert sinks.read_ledger(spark, ledger, sinks.TUNING_LEDGER).count() == n  # the run replaced its own lines
+    alone = training.run_oof(small, training.learner("xgb", **{**found[0].params, **ask["fixed"]}), folds=3)
+    assert alone.oof_auc == pytest.approx(found[0].oof_auc)
     assert training.sample_params(training.SPACES["xgb"], 3) == training.sample_params(training.SPACES["xgb"], 3)
     for name, (low, high, scale) in training.SPACES["lgbm"].items():
         value = float(training.sample_params(training.SPACES["lgbm"], 1)[name])
@@ -90,9 +153,14 @@ def test_search_logs_every_trial(spark, matrix, tmp_path):
 
 
 def test_null_importance_keeps_the_signal(matrix):
-    df = matrix.drop("fold_main", "cat")
+    df = matrix.drop("fold_main", "cat").withColumn("constant", F.lit(2.0))
+    found = {c: (real, bar) for c, real, bar in training.null_importances(df, runs=3, sample=None, params=QUICK)}
+    assert set(found) == {"signal", "noise", "constant"}
+    assert found["signal"][0] > found["noise"][0] and found["signal"][0] > found["signal"][1]
+    assert found["constant"] == (0.0, 0.0) and sum(r for r, _ in found.values()) == pytest.approx(1)
     dropped = training.null_importance_columns(df, runs=3, sample=None, params=QUICK)
-    assert "signal" not in dropped
+    assert dropped == [c for c, (real, bar) in found.items() if real <= bar]
+    assert "signal" not in dropped and "constant" in dropped
 
 
 def test_adversarial_validation_sees_a_shift(matrix):
