@@ -15,6 +15,11 @@ no more than any other key.
 Blocks expanded together compute the union of their statistics. An
 unconditional block much wider than the conditional ones therefore gets a
 plain aggregate of its own.
+
+Recency windows over one column lie inside each other, so no row has to be
+copied into them: the windows cut the column into bands, every row belongs to
+one, and counts, sums, extremes and second moments of (key, band) are merged
+from the newest band outwards.
 """
 
 from __future__ import annotations
@@ -42,11 +47,30 @@ class Stat:
     column: str | None = None
 
 
+@dataclass(frozen=True)
+class Recent:
+    """Rows whose ``column`` lies above ``bound``, or on it where ``inclusive``."""
+
+    column: str
+    bound: float
+    inclusive: bool = True
+
+    def rows(self) -> Column:
+        value = F.col(self.column)
+        return value >= self.bound if self.inclusive else value > self.bound
+
+
 @dataclass(frozen=True)
 class Block:
     prefix: str
     stats: tuple[Stat, ...]
     where: Column | None = None
+    recent: Recent | None = None
+
+    @staticmethod
+    def of_recent(prefix: str, stats: tuple[Stat, ...], column: str, bound: float, inclusive: bool = True) -> Block:
+        recent = Recent(column, bound, inclusive)
+        return Block(prefix, stats, recent.rows(), recent)
 
     def name(self, stat: Stat) -> str:
         return f"{self.prefix}_{stat.suffix}"
@@ -129,6 +153,75 @@ def _tagged(df: DataFrame, keys: Sequence[str], blocks: Sequence[Block]) -> Data
     ])
 
 
+def _parts(fn: str) -> tuple[str, ...]:
+    """What a statistic is merged from: values, sum, second moment about the mean, extremes."""
+    return {"mean": ("n", "s"), "sum": ("s",), "std": ("n", "s", "q"), "min": ("min",), "max": ("max",)}[fn]
+
+
+_PART_SQL = {"n": "count({c})", "s": "sum({c})", "q": "var_pop({c}) * count({c})", "min": "min({c})", "max": "max({c})"}
+
+
+def _total(names: Sequence[str]) -> str:
+    return " + ".join(f"coalesce({n}, 0)" for n in names)
+
+
+def _banded(df: DataFrame, keys: Sequence[str], blocks: Sequence[Block]) -> DataFrame:
+    """A lifetime block and recency windows over one column, from one row per (key, band).
+
+    A window's mean is its sum over its count. Its second moment is that of
+    its bands plus what their means are apart, so nothing cancels.
+    """
+    windows = sorted((b for b in blocks if b.recent), key=lambda b: -b.recent.bound)
+    bands = {id(b): range(i + 1) for i, b in enumerate(windows)} | {
+        id(b): range(len(windows) + 1) for b in blocks if not b.recent}
+    band = F.lit(len(windows))
+    for i, b in reversed(list(enumerate(windows))):
+        band = F.when(b.recent.rows(), F.lit(i)).otherwise(band)
+    needed = list(dict.fromkeys((s.column, p) for b in blocks for s in b.stats if s.fn != "count" for p in _parts(s.fn)))
+    number = {c: i for i, c in enumerate(dict.fromkeys(c for c, _ in needed))}
+    part = {(c, p): f"c{number[c]}_{p}" for c, p in needed}
+    by_band = df.select(*keys, *[c for c in number if c not in keys], band.alias(_TAG)).groupBy(*keys, _TAG).agg(
+        F.expr("count(1) AS rows"), *[F.expr(f"{_PART_SQL[p].format(c=quoted(c))} AS {n}") for (c, p), n in part.items()])
+    wide = by_band.groupBy(*keys).agg(*[
+        F.expr(f"max(CASE WHEN {_TAG} = {i} THEN {f} END) AS b{i}_{f}")
+        for i in range(len(windows) + 1) for f in ("rows", *part.values())])
+
+    def over(b: Block, f: str) -> list[str]:
+        return [f"b{i}_{f}" for i in bands[id(b)]]
+
+    means = {}  # (window, column) to the name of its mean, computed before the moments
+    for k, b in enumerate(blocks):
+        for s in b.stats:
+            if s.fn in ("mean", "std"):
+                n, total = (_total(over(b, part[s.column, p])) for p in ("n", "s"))
+                means[k, s.column] = f"w{k}_c{number[s.column]}", f"CAST({total} AS DOUBLE) / nullif({n}, 0)"
+    wide = wide.selectExpr("*", *[f"{e} AS {n}" for n, e in means.values()])
+
+    def merged(k: int, b: Block, s: Stat) -> str:
+        rows = _total(over(b, "rows"))
+        if s.fn == "count":
+            return f"nullif({rows}, 0)"
+        if s.fn == "mean":
+            return means[k, s.column][0]
+        own = over(b, part[s.column, _parts(s.fn)[-1]])
+        if s.fn == "sum":
+            return f"CASE WHEN {rows} > 0 THEN {_total(own)} END"
+        if s.fn in ("min", "max"):
+            return own[0] if len(own) == 1 else f"{'least' if s.fn == 'min' else 'greatest'}({', '.join(own)})"
+        counts, sums = over(b, part[s.column, "n"]), over(b, part[s.column, "s"])
+        apart = " + ".join(f"coalesce({n} * pow({t} / nullif({n}, 0) - {means[k, s.column][0]}, 2), 0)" for n, t in zip(counts, sums))
+        return f"sqrt(({_total(own)} + {apart}) / nullif(greatest({_total(counts)} - 1, 0), 0))"
+
+    return wide.selectExpr(*map(quoted, keys), *[
+        f"{merged(k, b, s)} AS {quoted(b.name(s))}" for k, b in enumerate(blocks) for s in b.stats])
+
+
+def _nested(blocks: Sequence[Block]) -> bool:
+    """Whether all blocks but the first are recency windows over one column."""
+    return len({(b.recent.column, b.recent.inclusive) if b.recent else None for b in blocks[1:]} | {None}) == 2 and all(
+        b.recent for b in blocks[1:])
+
+
 def conditional_blocks(df: DataFrame, key: str | Sequence[str], blocks: Sequence[Block]) -> DataFrame:
     """Blocks with predicates only: a key appears when it has a row in any of them."""
     keys = [key] if isinstance(key, str) else list(key)
@@ -151,6 +244,8 @@ def aggregate_blocks(
     width = sum(len(b.stats) for b in blocks)
     if len(blocks) == 1 or width <= one_pass_limit:
         return _one_pass(df, keys, blocks)
+    if _nested(blocks):
+        return _banded(df, keys, blocks)
     shared = {(s.fn, s.column) for b in blocks[1:] for s in b.stats}
     if len(blocks[0].stats) > SPLIT_RATIO * len(shared):
         return _one_pass(df, keys, blocks[:1]).join(_tagged(df, keys, blocks[1:]), keys, "left")

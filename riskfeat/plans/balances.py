@@ -17,7 +17,7 @@ from riskfeat.sources.tables import ENTITY
 
 def month_blocks(prefix: str, stats: tuple[Stat, ...], life_only: tuple[Stat, ...] = ()) -> list[Block]:
     return [Block(prefix, stats + life_only)] + [
-        Block(f"{prefix}_{w}", stats, F.col("MONTHS_BALANCE") >= since)
+        Block.of_recent(f"{prefix}_{w}", stats, "MONTHS_BALANCE", since)
         for w, since in names.MONTH_WINDOWS.items()
     ]
 

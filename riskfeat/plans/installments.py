@@ -40,7 +40,7 @@ PAYMENT_STATS = (
 def payment_blocks() -> list[Block]:
     life = (*PAYMENT_STATS, *stats_of("DAYS_INSTALMENT", ("min", "max")))
     return [Block("INS", life)] + [
-        Block(f"INS_{w}", PAYMENT_STATS, F.col("DAYS_INSTALMENT") > after)
+        Block.of_recent(f"INS_{w}", PAYMENT_STATS, "DAYS_INSTALMENT", after, inclusive=False)
         for w, after in names.PAYMENT_WINDOWS.items()
     ]
 

@@ -66,3 +66,52 @@ def test_wide_specs_scan_once(spark, tmp_path):
     df = spark.read.parquet(str(tmp_path / "t"))
     plan = a.aggregate_blocks(df, "id", blocks(), one_pass_limit=0)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
+
+
+def recent_blocks():
+    stats = (a.ROWS, *a.numeric_block(["x", "n"]))
+    return [a.Block("L", (*stats, *a.stats_of("m", ("min", "max")))), a.Block.of_recent("A", stats, "m", -3),
+            a.Block.of_recent("B", stats, "m", -9), a.Block.of_recent("NONE", stats, "m", 0.5)]
+
+
+def test_bands_agree_with_one_pass(spark):
+    rows = [(k, -(i * k % 14) if i % 5 else None, None if (i + k) % 4 == 0 else 1e9 + (i * 7919 % 101) / 7, i % 3 if i % 6 else None)
+            for k in range(1, 30) for i in range(k * 3)]
+    rows += [(99, -2, None, None), (98, None, 1.0, 1), (97, -12, 5.0, 2), (None, -1, 2.0, 3), (None, -20, 3.0, 3)]
+    df = spark.createDataFrame(rows, "id long, m int, x double, n int").repartition(4)
+    one = {r["id"]: r.asDict() for r in a.aggregate_blocks(df, "id", recent_blocks(), one_pass_limit=1000).collect()}
+    bands = a.aggregate_blocks(df, "id", recent_blocks(), one_pass_limit=0)
+    assert bands.dtypes == a.aggregate_blocks(df, "id", recent_blocks(), one_pass_limit=1000).dtypes
+    got = {r["id"]: r.asDict() for r in bands.collect()}
+    assert set(got) == set(one) and len(got) == 33
+    for key, row in one.items():
+        for c, want in row.items():
+            assert got[key][c] == (want if want is None else pytest.approx(want, rel=1e-12, abs=1e-6)), (key, c)
+
+
+def test_bands_ship_one_row_per_key_and_band(spark):
+    df = spark.range(0, 20_000, numPartitions=4).selectExpr(
+        "id % 50 AS id", "cast(id AS double) AS x", "cast(id AS int) AS n", "cast(-(id % 13) AS int) AS m")
+    out = a.aggregate_blocks(df, "id", recent_blocks(), one_pass_limit=0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Exchange hashpartitioning") <= 2
+    out.collect()
+    text, shuffled = out._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        if node.nodeName() == "Exchange":
+            shuffled.append(node.metrics().apply("shuffleRecordsWritten").value())
+        kids = [node.executedPlan()] if node.nodeName() == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in node.nodeName() else []
+        for kid in kids or [node.children().apply(i) for i in range(node.children().size())]:
+            walk(kid)
+    walk(text)
+    assert shuffled and max(shuffled) <= 4 * 50 * 4  # partitions x keys x bands
+
+
+def test_windows_of_two_columns_are_not_nested():
+    stats = (a.ROWS,)
+    life, w = a.Block("L", stats), a.Block.of_recent("A", stats, "m", -3)
+    assert a._nested([life, w]) and a._nested([life, w, a.Block.of_recent("B", stats, "m", -9)])
+    assert not a._nested([life, w, a.Block.of_recent("B", stats, "d", -9)])
+    assert not a._nested([life, w, a.Block.of_recent("B", stats, "m", -9, inclusive=False)])
+    assert not a._nested([life, w, a.Block("B", stats, w.where)]) and not a._nested([life])
