@@ -2,10 +2,12 @@
 
 A sequence of tokens is the encoding of its bytes exactly when each pair of
 neighbours is the encoding of its own bytes. So two encodings are joined by
-re-encoding a window around the boundary and growing it until the window's
-outer tokens form such stable pairs with the tokens outside: then every pair
-of the whole is stable and the whole is the encoding. Decoding concatenates
-the tokens' bytes up the same tree.
+re-encoding a window around the boundary and growing it, token by token, until
+its outer tokens form such stable pairs with the tokens outside: then every
+pair of the whole is stable and the whole is the encoding. Of a growing window
+only the end that is not stable yet is encoded anew, so a run of one character,
+through which a remainder moves to the far end, costs a step a token. Decoding
+concatenates the tokens' bytes up the same tree.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import re
 import struct
 import sys
 from functools import cache
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 import regex
@@ -28,6 +31,9 @@ from riskfeat.llm.common import spare, whole_texts
 VOCABULARY = "byte_bpe_50k.tiktoken"
 NONE = 1 << 62  # rank of what is no token
 LEAF = 4  # bytes that are merged directly
+LEAF_IDS = 1024  # ids that are decoded directly
+DIRECT = 256  # bytes up to which the least pair is looked for by scanning
+STEPS = 64  # re-encoded pairs a token after which a join starts over from the bytes
 _KEPT = 1 << 18  # entries of a memo before it starts anew
 
 
@@ -64,6 +70,8 @@ class Codec:
 
     def merge(self, data: bytes) -> tuple[int, ...]:
         """Encoding by definition: merge the leftmost pair of least rank while there is one."""
+        if len(data) > DIRECT:
+            return self._merge_long(data)
         rank_of = self.ranks.get
         parts = [data[i:i + 1] for i in range(len(data))]
         pairs = [rank_of(a + b, NONE) for a, b in zip(parts, parts[1:])]
@@ -80,22 +88,59 @@ class Codec:
                 pairs[at] = rank_of(parts[at] + parts[at + 1], NONE)
         return tuple([self.ranks[p] for p in parts])
 
+    def _merge_long(self, data: bytes) -> tuple[int, ...]:
+        """``merge`` with the pairs in a heap and the parts in a linked list."""
+        rank_of, n = self.ranks.get, len(data)
+        after, before, end = [*range(1, n + 1)], [*range(-1, n - 1)], [*range(1, n + 1)]
+        heap = [(rank, i) for i in range(n - 1) if (rank := rank_of(data[i:i + 2])) is not None]
+        heapify(heap)
+        gone = bytearray(n)
+        while heap:
+            rank, i = heappop(heap)
+            j = after[i] if not gone[i] else n
+            if j >= n or rank_of(data[i:end[j]]) != rank:
+                continue  # one of its parts has been merged since
+            gone[j], end[i], after[i] = 1, end[j], after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for k in (before[i], i):
+                if k >= 0 and after[k] < n and (rank := rank_of(data[k:end[after[k]]])) is not None:
+                    heappush(heap, (rank, k))
+        return tuple([self.ranks[data[i:end[i]]] for i in range(n) if not gone[i]])
+
     def stable(self, left: int, right: int) -> bool:
         """Whether two neighbours are the encoding of their own bytes."""
         return self._window[left, right] == (left, right)
 
     def join(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
         """The encoding of both halves together, from the encodings of each."""
-        if not left or not right:
-            return left or right
-        i = j = 1
-        while True:
-            window = self._window[left[-i:] + right[:j]]
-            open_left = i < len(left) and not self.stable(left[-i - 1], window[0])
-            open_right = j < len(right) and not self.stable(window[-1], right[j])
-            if not open_left and not open_right:
-                return left[:-i] + window + right[j:]
-            i, j = min(len(left), i * 2) if open_left else i, min(len(right), j * 2) if open_right else j
+        if not left or not right or self.stable(left[-1], right[0]):
+            return left + right
+        done, rest = list(left), list(reversed(right))
+        outside = len(rest)  # tokens of the right half that the window has not reached
+        steps = STEPS * (len(left) + len(right))
+        while rest:
+            if not done:
+                done.append(rest.pop())
+                continue
+            pair = done[-1], rest[-1]
+            window = self._window[pair]
+            if window == pair:
+                if len(rest) == outside:
+                    break
+                done.append(rest.pop())
+                continue
+            steps -= 1
+            if steps < 0:  # not seen to happen: nothing proves that the window settles
+                return self.merge(self.decode(left) + self.decode(right))
+            done.pop()
+            rest.pop()
+            outside = min(outside, len(rest))
+            rest.extend(reversed(window))
+            if done:
+                rest.append(done.pop())
+        done.extend(reversed(rest))
+        return tuple(done)
 
     def _encode(self, data: bytes) -> tuple[int, ...]:
         n = len(data)
@@ -112,6 +157,9 @@ class Codec:
         return (rank,) if rank is not None else self._encode(data)
 
     def decode(self, ids) -> bytes:
+        n = len(ids)
+        if n > LEAF_IDS:
+            return self.decode(ids[:n // 2]) + self.decode(ids[n // 2:])
         return b"".join([self.bytes_of[i] for i in ids])
 
 

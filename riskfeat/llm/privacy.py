@@ -72,8 +72,8 @@ def base_spans(text: str) -> list[Span]:
     spans = [(a, 0, b) for a, b in _emails(text)]
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 if len(p) < 4000 else not p.strip("0")
-                   for p in m.group().split(".")):
+            parts = [p.lstrip("0") for p in m.group().split(".")]
+            if all(len(p) <= 3 and int(p or "0") <= 255 for p in parts):
                 spans.append((m.start(), 1, m.end()))
         for m in _CARD.finditer(text):
             digits = m.group().replace(" ", "").replace("-", "")

@@ -1,4 +1,5 @@
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -44,6 +45,34 @@ def test_long_pieces_agree_with_the_library(coder, library):
         agrees(coder, library, text)
 
 
+@pytest.mark.parametrize("unit", ["=", "-", "_", " ", "é", "ab", "=-", "0"])
+def test_a_megabyte_of_one_character(coder, library, unit):
+    text = unit * (1_000_000 // len(unit.encode()))
+    start = time.perf_counter()
+    packed = coder.encode(text)
+    assert time.perf_counter() - start < 20
+    assert coder.decode(packed) == text.encode()
+    small = unit * 3_001
+    assert list(memoryview(b"".join(coder.encode(small))).cast("I")) == library.encode_ordinary(small)
+    if unit == "=":
+        data = text.encode()[:200_000]
+        assert coder.codec._encode(data) == coder.codec.merge(data)
+
+
+def test_long_merges_are_the_short_ones():
+    codec, rng = bytepair.codec(PATH), random.Random(9)
+    for _ in range(400):
+        data = bytes(rng.choice(b"==-a\xc3\xa9 thein") for _ in range(rng.randint(1, 250)))
+        assert codec._merge_long(data) == codec.merge(data)
+
+
+def test_joins_that_do_not_settle_start_over(monkeypatch):
+    monkeypatch.setattr(bytepair, "STEPS", 0)
+    codec = bytepair.Codec(bytepair.codec(PATH).ranks)
+    for text in ("=" * 777, "the thing in the inn" * 9):
+        assert codec._encode(text.encode()) == codec.merge(text.encode())
+
+
 @pytest.mark.parametrize("leaf", [1, 3, 16])
 def test_joining_does_not_depend_on_where_texts_are_cut(leaf):
     whole = bytepair.codec(PATH)

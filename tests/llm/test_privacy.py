@@ -91,3 +91,12 @@ def test_cleaned_counts_characters_anew(spark):
     got = {r["doc_id"]: r for r in privacy.cleaned(docs).collect()}
     assert got[1]["text"] == "write to <EMAIL> or <IP> now" and got[1]["n_chars"] == len(got[1]["text"])
     assert got[2]["text"] == "nothing here"
+
+
+@pytest.mark.parametrize("zeros", [0, 1, 3_000, 4_100, 20_000])
+def test_leading_zeros_of_any_number_are_an_address(zeros):
+    pad = "0" * zeros
+    for part, found in (("1", True), ("255", True), ("256", False), ("", zeros > 0), ("1000", False)):
+        text = f"at {pad}{part}.{pad}2.3.4 end"
+        spans = [s for s in privacy.base_spans(text) if s[1] == 1]
+        assert [text[a:b] for a, _, b in spans] == ([f"{pad}{part}.{pad}2.3.4"] if found else []), (zeros, part)
