@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from riskfeat.llm import privacy
 from tests.llm.conftest import ODD, frame
 
