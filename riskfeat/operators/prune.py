@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Collection, Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
@@ -17,6 +18,9 @@ from riskfeat.operators.encode import fill_values, medians
 from riskfeat.operators.folds import SEED, seeded_sample
 from riskfeat.operators.rank import ordinals
 
+TILE = 128  # columns of a block of the correlation matrix
+PANEL_BYTES = 32 << 20  # of the part of that matrix that one task sums up
+
 
 def missing_columns(df: DataFrame, threshold: float = 0.99, keep: Collection[str] = ()) -> list[str]:
     """Columns whose share of NULLs exceeds ``threshold``."""
@@ -41,21 +45,103 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
     return np.abs(np.nan_to_num(matrix, nan=0.0))
 
 
-def losers_of_pairs(corr: np.ndarray, auc: Sequence[float], threshold: float) -> list[int]:
+def correlated_pairs(df: DataFrame, columns: Sequence[str], threshold: float, panel: int | None = None) -> DataFrame:
+    """(a, b, corr) of all pairs of columns whose absolute correlation exceeds ``threshold``, a before b.
+
+    Medians stand for missing values. Columns are cut into blocks of ``TILE``;
+    every task sums the products of its standardised rows for the tiles of a
+    panel of blocks against all columns, the tiles of all tasks are added up by
+    (block, block), and only pairs above the threshold leave them. A panel is
+    as high as ``PANEL_BYTES`` allows, so a task's memory does not grow with
+    the square of the columns; each panel is one pass. A constant column
+    correlates with nothing.
+    """
+    names, spark = list(columns), df.sparkSession
+    fill = medians(df, names)
+    filled = np.array([fill.get(c) or 0.0 for c in names], dtype=float)
+    moments = _moments(fill_values(df.select(*names), fill), names)
+    count, mean, std = moments
+    blocks = -(-len(names) // TILE)
+    panel = panel or max(1, PANEL_BYTES // (8 * TILE * max(len(names), 1)))
+    values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(names)])
+
+    def partial(first: int, last: int):
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            low, high = first * TILE, min(last * TILE, len(names))
+            total = np.zeros((high - low, len(names) - low))
+            for batch in batches:
+                x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+                x = np.where(np.isfinite(x), x, filled)
+                z = np.divide(x - mean, std, out=np.zeros_like(x), where=std > 0)
+                total += z[:, low:high].T @ z[:, low:]
+            for i in range(first, last):
+                for j in range(i, blocks):
+                    tile = total[i * TILE - low:(i + 1) * TILE - low, j * TILE - low:(j + 1) * TILE - low]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([i], pa.int32()), pa.array([j], pa.int32()), pa.array([tile.tobytes()], pa.binary())],
+                        names=["i", "j", "tile"])
+        return run
+
+    def above(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(key: tuple[int, int], total: np.ndarray) -> pa.RecordBatch:
+            i, j = key
+            corr = np.abs(total.reshape(-1, min(TILE, len(names) - j * TILE))) / count
+            rows, cols = np.nonzero(corr > threshold)
+            a, b = rows + i * TILE, cols + j * TILE
+            keep = a < b
+            return pa.RecordBatch.from_arrays(
+                [pa.array(a[keep], pa.int32()), pa.array(b[keep], pa.int32()), pa.array(corr[rows, cols][keep])],
+                names=["x", "y", "corr"])
+        key = total = None
+        for batch in batches:
+            for row in batch.to_pylist():
+                this, tile = (row["i"], row["j"]), np.frombuffer(row["tile"])
+                if this == key:
+                    total = total + tile
+                    continue
+                if key is not None:
+                    yield pairs(key, total)
+                key, total = this, tile
+        if key is not None:
+            yield pairs(key, total)
+
+    found = None
+    for first in range(0, blocks, panel):
+        tiles = values.mapInArrow(partial(first, min(first + panel, blocks)), "i int, j int, tile binary")
+        part = tiles.repartition("i", "j").sortWithinPartitions("i", "j").mapInArrow(above, "x int, y int, corr double")
+        found = part if found is None else found.union(part)
+    listed = F.array(*[F.lit(c) for c in names]) if names else F.array().cast("array<string>")
+    if found is None:
+        return spark.createDataFrame([], "a string, b string, corr double")
+    return found.select(F.get(listed, F.col("x")).alias("a"), F.get(listed, F.col("y")).alias("b"), "corr")
+
+
+def _moments(filled: DataFrame, names: Sequence[str]) -> tuple[int, np.ndarray, np.ndarray]:
+    """Rows, means and standard deviations, a chunk of columns at a time."""
+    count, mean, std = 0, [], []
+    for i in range(0, len(names), profile.CHUNK):
+        part = names[i:i + profile.CHUNK]
+        row = filled.agg(F.count(F.lit(1)).alias("n"), *[
+            e for k, c in enumerate(part) for e in (F.avg(F.col(c).cast("double")).alias(f"m{k}"),
+                                                    F.stddev_pop(F.col(c).cast("double")).alias(f"s{k}"))]).first()
+        count = row["n"]
+        mean += [row[f"m{k}"] or 0.0 for k in range(len(part))]
+        std += [row[f"s{k}"] or 0.0 for k in range(len(part))]
+    mean, std = np.array(mean), np.array(std)
+    return max(count, 1), mean, np.where(std > 1e-12 * np.maximum(np.abs(mean), 1e-300), std, 0.0)
+
+
+def losers_of_pairs(pairs: Collection[tuple[int, int]], auc: Sequence[float]) -> list[int]:
     """Which column of each too-similar pair goes: the one with the lower AUC.
 
     Columns are visited in order, each against the later ones; equal AUCs keep
     the earlier column, and a column that loses takes part in no further pair.
     """
     alive = np.ones(len(auc), dtype=bool)
-    for i in range(len(auc)):
-        rivals = np.flatnonzero(corr[i] > threshold)
-        for j in rivals[rivals > i]:
-            if not alive[i]:
-                break
-            if alive[j]:
-                alive[i if auc[j] > auc[i] else j] = False
-    return list(np.flatnonzero(~alive))
+    for i, j in sorted(pairs):
+        if alive[i] and alive[j]:
+            alive[i if auc[j] > auc[i] else j] = False
+    return [int(i) for i in np.flatnonzero(~alive)]
 
 
 def correlated_columns(
@@ -63,7 +149,8 @@ def correlated_columns(
 ) -> list[str]:
     """The weaker member of every numeric pair correlated beyond ``threshold``.
 
-    All labelled rows are measured unless a ``sample`` size is asked for.
+    All labelled rows are measured unless a ``sample`` size is asked for. AUCs
+    are computed for the columns of such pairs only.
     """
     names = numeric_columns(df, {key, label})
     if len(names) < 2:
@@ -71,9 +158,13 @@ def correlated_columns(
     measured = df.filter(F.col(label).isNotNull()).select(key, label, *names)
     if sample is not None:
         measured = seeded_sample(measured, key, sample, seed)
-    table = {r["column"]: r["auc"] for r in profile.univariate_auc(measured, names, label).collect()}
-    corr = correlation_matrix(measured, names)
-    return [names[i] for i in losers_of_pairs(corr, [table.get(c, 0.5) for c in names], threshold)]
+    place = {c: i for i, c in enumerate(names)}
+    pairs = [(place[r["a"]], place[r["b"]]) for r in correlated_pairs(measured, names, threshold).collect()]
+    if not pairs:
+        return []
+    asked = [names[i] for i in sorted({i for p in pairs for i in p})]
+    table = {r["column"]: r["auc"] for r in profile.univariate_auc(measured, asked, label).collect()}
+    return [names[i] for i in losers_of_pairs(pairs, [table.get(c, 0.5) for c in names])]
 
 
 def permute_label(df: DataFrame, key: str, label: str, seed: int) -> DataFrame:

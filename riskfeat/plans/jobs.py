@@ -4,6 +4,8 @@ Each job reads what the jobs before it have written under one folder, checks
 it, and writes its own result there:
 
     folds            key and fold of every labelled entity
+    folds_group      key and fold of every labelled entity with events, balanced by events
+    auxiliary_*      event-level features of one child table, where the gate has let them through
     predictions      (key, model, fold, split, pred), partitioned by model, split and fold
     fold_values      target encodings by fold, one table per model
     summary          one row per trained model
@@ -13,19 +15,24 @@ it, and writes its own result there:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskfeat.functions.columns import present
-from riskfeat.operators.checks import alignment
+from riskfeat.operators.aggspec import join_on_key
+from riskfeat.operators.checks import GATE_AUC, alignment, gate
 from riskfeat.operators.encode import fit_target_encoder
-from riskfeat.operators.folds import FOLDS, SEED, check_folds, split_by_label, stratified_folds
+from riskfeat.operators.folds import (
+    FOLDS, SEED, check_folds, duplicate_keys, group_folds, split_by_label, stratified_folds,
+)
+from riskfeat.plans.auxiliary import event_level_features
 from riskfeat.plans.ensemble import run_ensemble
 from riskfeat.plans.training import FoldColumns, Learner, learner, run_oof
 from riskfeat.sources.sinks import (
-    append_ledger, fold_table, known_models, load_predictions, now, read_ledger, save_predictions, write_scored,
+    ENSEMBLE_LEDGER, append_ledger, fold_table, known_models, load_predictions, now, read_ledger, save_predictions, write_scored,
 )
 from riskfeat.sources.tables import ENTITY, LABEL, read_table, write_table
 
@@ -57,6 +64,68 @@ def fold_job(
     return stored
 
 
+def group_fold_job(
+    events: DataFrame, labels: DataFrame, out: str, key: str = ENTITY, label: str = LABEL, folds: int = FOLDS,
+    seed: int = SEED, name: str = "folds_group",
+) -> DataFrame:
+    """Folds of labelled entities for models of single events: balanced by events, an entity in one fold only."""
+    labelled, _ = split_by_label(labels.select(key, label), label)
+    mine = events.join(labelled.select(key), key, "left_semi")
+    write_table(group_folds(mine, key, folds, seed), out, name)
+    stored = read_table(events.sparkSession, out, name)
+    if not duplicate_keys(stored, key).isEmpty():
+        raise ValueError(f"{name}: an entity falls into more than one fold")
+    aligned(stored, mine, key, "group folds and entities with events")
+    return stored
+
+
+# Child tables that get an event-level model: prefix of its features, column that tells recent events.
+AUXILIARY: dict[str, tuple[str, str | None]] = {
+    "installments_payments": ("INS", "DAYS_INSTALMENT"), "previous_application": ("PREV", None),
+}
+
+
+def gate_passed(spark: SparkSession, out: str, threshold: float = GATE_AUC) -> bool:
+    """Whether the latest blend reaches the threshold; not where none has been logged."""
+    try:
+        ledger = read_ledger(spark, f"{out}/ensemble_ledger", ENSEMBLE_LEDGER)
+        return bool(gate(ledger, threshold).first()["passed"])
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
+def auxiliary_job(
+    spark: SparkSession, processed: str, out: str, labels: DataFrame, key: str = ENTITY, label: str = LABEL,
+    folds: int = FOLDS, threshold: float = GATE_AUC, model: Learner | None = None,
+    tables: Mapping[str, tuple[str, str | None]] = AUXILIARY,
+) -> list[str]:
+    """Event-level features of the child tables, stored if the gate passes; the names of what was stored.
+
+    Nothing is trained otherwise, and nothing is left of an earlier run that did pass.
+    """
+    passed = gate_passed(spark, out, threshold)
+    for name, (prefix, when) in tables.items() if passed else ():
+        events = read_table(spark, processed, name)
+        stored = group_fold_job(events, labels, out, key, label, folds, name=f"folds_group_{name}")
+        features = event_level_features(events, labels, prefix, when, key=key, label=label, folds=folds, model=model,
+                                        group=stored)
+        write_table(features, out, f"auxiliary_{name}")
+    made = [f"auxiliary_{name}" for name in tables] if passed else []
+    write_table(spark.createDataFrame([(n,) for n in made], "name string"), out, "auxiliary")
+    return made
+
+
+def gated_matrix(
+    spark: SparkSession, features: str, out: str, matrix: str = "main", key: str = ENTITY,
+) -> DataFrame:
+    """A stored matrix, with the columns of ``auxiliary_job`` where the gate has let them through."""
+    rows = read_table(spark, features, matrix)
+    made = [r["name"] for r in read_table(spark, out, "auxiliary").collect()]
+    return join_on_key([rows, *[read_table(spark, out, n) for n in sorted(made)]], key)
+
+
 def train_job(
     spark: SparkSession, features: str, out: str, model: str | Learner, spec: FoldColumns = FoldColumns(),
     key: str = ENTITY, label: str = LABEL, folds: int = FOLDS, run: str | None = None, **options: object,

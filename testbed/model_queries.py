@@ -30,7 +30,7 @@ from riskfeat.plans.training import (
     FoldColumns, Learner, adversarial_validation, halving_search, learner, mean_importances, null_importances, run_oof,
 )
 from riskfeat.session import cut_lineage
-from riskfeat.sources.sinks import prediction_rows
+from riskfeat.sources.sinks import ENSEMBLE_LEDGER, append_ledger, prediction_rows
 from riskfeat.sources.tables import read_csv, write_table
 from testbed.feature_queries import cleaned_sql
 from testbed.operator_queries import fold_sql
@@ -296,6 +296,30 @@ def scored_file_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(ID, F.col("TARGET").between(0, 1).alias("scored"), F.lit(result["oof_auc"] > _LEARNT).alias("learnt"))
 
 
+_AUX_N = f"(SELECT count(DISTINCT {ID}) FROM {{t}} JOIN app USING ({ID}) WHERE TARGET IS NOT NULL)"
+
+
+@query(with_ctes([("pay", role_sql("installments_payments")), ("prev", role_sql("previous_application")), ("app", _APP_SQL)],
+                 "SELECT * FROM (VALUES " + ", ".join(
+                     f"('INS_AUX_OOF_{s}', {_AUX_N.format(t='pay')}, 0 :: BIGINT), ('PREV_AUX_OOF_{s}', {_AUX_N.format(t='prev')}, 0 :: BIGINT)"
+                     for s in ("MEAN", "MAX", "MIN")) + ") t(feature, gate_open, gate_closed)"))
+def gated_auxiliary_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities with a value in each event-level column of the matrix, with the gate open and with it closed."""
+    out = scratch(spark)
+    labels = application(spark, sf_dir).select(ID, "TARGET")
+    write_table(labels, out, "main")
+    for name in jobs.AUXILIARY:
+        write_table(role(spark, sf_dir, name), out, name)
+    model, counts = Learner("auxiliary", "gbt", params=dict(maxIter=2, maxDepth=2)), []
+    for k, auc in enumerate((0.8, 0.7)):
+        append_ledger(spark, f"{out}/ensemble_ledger", ENSEMBLE_LEDGER, [(f"2020-01-0{k + 1}", "a,b", "1,0", auc, None, None)], f"run{k}")
+        jobs.auxiliary_job(spark, out, out, labels, folds=_FOLDS, model=model)
+        matrix = jobs.gated_matrix(spark, out, out)
+        counts.append(matrix.agg(*[F.count(c).alias(c) for c in matrix.columns]).first().asDict())
+    wanted = [f"{p}_AUX_OOF_{s}" for p in ("INS", "PREV") for s in ("MEAN", "MAX", "MIN")]
+    return spark.createDataFrame([(c, *(n.get(c, 0) for n in counts)) for c in wanted], "feature string, gate_open bigint, gate_closed bigint")
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders")
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders through a CSV file with an explicit schema, two of its three columns read."""

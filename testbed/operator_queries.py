@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from riskfeat.functions.columns import numeric_columns
 from riskfeat.operators import checks, encode, folds, knn, profile, prune, rank
 from riskfeat.operators.aggspec import ROWS, Block, aggregate_blocks, distinct_counts, stats_of
+from riskfeat.plans import columns as names
 from riskfeat.plans import extras
 from riskfeat.plans.application import application_rows
 from riskfeat.plans.assemble import join_features
 from riskfeat.plans.auxiliary import rollup_predictions
 from riskfeat.plans.ensemble import rank_blend, wide_predictions
-from riskfeat.plans.installments import installments_features
+from riskfeat.plans.installments import PAYMENT_STATS, installments_features
 from riskfeat.plans.balances import pos_features, recency_weighted_lateness
 from riskfeat.session import cut_lineage
 from riskfeat.sources.sinks import constant_scores, fold_table, mean_over_folds, scored_rows
@@ -409,12 +410,31 @@ def column_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.createDataFrame(rows, "a string, b string, corr double"))
 
 
+_PAIRED = [f"{p}_{s.suffix}" for p in ("INS", *(f"INS_{w}" for w in names.PAYMENT_WINDOWS)) for s in PAYMENT_STATS] + [
+    "INS_DAYS_INSTALMENT_MIN", "INS_DAYS_INSTALMENT_MAX", "INS_NUM_VERSION_NUNIQUE"]
+
+
+@query(with_ctes(
+    [("ins", ORACLES["installments_table"]),
+     ("l", f"SELECT {ID}, name, value FROM (SELECT {ID}, " + ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in _PAIRED)
+      + f" FROM ins) UNPIVOT INCLUDE NULLS (value FOR name IN ({', '.join(chr(34) + c + chr(34) for c in _PAIRED)}))"),
+     ("o", "SELECT * FROM (VALUES " + ", ".join(f"('{c}', {i})" for i, c in enumerate(_PAIRED)) + ") t(name, place)"),
+     ("m", "SELECT name, coalesce(quantile_disc(value, 0.5), 0) AS m FROM l GROUP BY name"),
+     ("f", f"SELECT {ID}, name, place, coalesce(value, m) AS v FROM l JOIN m USING (name) JOIN o USING (name)"),
+     ("c", f"SELECT a.name AS a, b.name AS b, abs(corr(a.v, b.v)) AS corr FROM f a JOIN f b USING ({ID}) WHERE a.place < b.place GROUP BY 1, 2")],
+    "SELECT a, b, round(corr, 6) + 0.0 AS corr FROM c WHERE NOT isnan(corr) AND corr > 0.98"))
+def correlated_payment_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of the payment features that are too similar to keep both."""
+    table = QUERIES["installments_table"](spark, sf_dir)
+    return rounded(prune.correlated_pairs(table, _PAIRED, 0.98))
+
+
 @query()
 def pruned_for_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = installments_features(role(spark, sf_dir, "installments_payments"))
-    labelled = table.join(application(spark, sf_dir).select(ID, "TARGET"), ID)
-    dropped = prune.correlated_columns(labelled, ID, "TARGET", 0.98)
-    return spark.createDataFrame([(c,) for c in dropped], "column string")
+    """The weaker column of every too similar pair among all columns of the six feature tables."""
+    joined = cut_lineage(QUERIES["joined_features"](spark, sf_dir))
+    table = joined if "TARGET" in joined.columns else joined.join(application(spark, sf_dir).select(ID, "TARGET"), ID)
+    return spark.createDataFrame([(c,) for c in prune.correlated_columns(table, ID, "TARGET", 0.98)], "column string")
 
 
 _F_COLUMNS = ["INS_COUNT", "INS_DPD_MEAN", "INS_DPD_MAX", "INS_AMT_PAYMENT_SUM", "INS_LATE_RATE", "INS_3M_COUNT", "INS_12M_COUNT",

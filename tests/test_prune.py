@@ -64,7 +64,33 @@ def test_pair_elimination(seed):
     corr = rng.random((12, 12))
     corr = (corr + corr.T) / 2
     auc = rng.integers(5, 9, 12) / 10
-    assert sorted(prune.losers_of_pairs(corr, auc, 0.6)) == losers_by_definition(corr, auc, 0.6)
+    pairs = [(i, j) for i in range(12) for j in range(i + 1, 12) if corr[i, j] > 0.6]
+    rng.shuffle(pairs)
+    assert sorted(prune.losers_of_pairs([tuple(p) for p in pairs], auc)) == losers_by_definition(corr, auc, 0.6)
+
+
+@pytest.mark.parametrize("tile,panel", [(128, None), (4, 1), (5, 2)])
+def test_pairs_above_the_threshold(spark, monkeypatch, tile, panel):
+    monkeypatch.setattr(prune, "TILE", tile)
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(400, 4))
+    x = np.column_stack([base @ rng.normal(size=4) + 1e6 * (k % 3) + rng.normal(size=400) * rng.choice([0.01, 1]) for k in range(18)])
+    x[:, 7] = 5.0
+    x[rng.random(x.shape) < 0.1] = np.nan
+    names = [f"n{k}" for k in range(18)]
+    rows = [[None if np.isnan(v) else float(v) for v in r] for r in x]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names)).repartition(5)
+    filled = x.copy()
+    for k in range(18):
+        known = np.sort(x[~np.isnan(x[:, k]), k])
+        filled[np.isnan(x[:, k]), k] = known[(len(known) - 1) // 2]
+    with np.errstate(invalid="ignore"):
+        corr = np.abs(np.corrcoef(filled.T))
+    want = {(names[i], names[j]): corr[i, j] for i in range(18) for j in range(i + 1, 18) if corr[i, j] > 0.5}
+    got = {(r["a"], r["b"]): r["corr"] for r in prune.correlated_pairs(df, names, 0.5, panel).collect()}
+    assert set(got) == set(want) and len(want) > 10
+    assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+    assert prune.correlated_pairs(df, [], 0.5).count() == 0 and prune.correlated_pairs(df.limit(0), names, 0.5).count() == 0
 
 
 def test_permuted_labels_keep_keys_and_counts(spark):
