@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -100,25 +101,61 @@ def one_hot(
 ) -> DataFrame:
     """A 0/1 column per category; NULL is a category of its own (``__null``).
 
-    The vocabulary comes from the data unless given. A column with more than
-    ``limit`` categories is refused: that many output columns is a mistake.
+    The vocabulary comes from the data unless given. A column of more than
+    ``limit`` categories becomes one sparse vector column, ``prefix`` and its
+    name, which ``VectorAssembler`` takes as it is.
     """
+    wide: list[str] = []
     if vocabulary is None:
-        found = collect_bounded(category_counts(df, columns).select("column", "value"),
-                                limit * len(columns))
-        if found is None:
-            raise ValueError(f"more than {limit} categories per column: encode by count instead")
-        vocabulary = {c: [r["value"] for r in found if r["column"] == c] for c in columns}
+        measured = category_counts(df, columns)
+        found = collect_bounded(measured.select("column", "value"), limit * len(columns))
+        if found is None:  # the few columns' sizes first, then the values of the narrow ones
+            sizes = {r["column"]: r["n"] for r in measured.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+            narrow = [c for c in columns if sizes.get(c, 0) <= limit]
+            found = category_counts(df, narrow).select("column", "value").collect() if narrow else []
+            wide = [c for c in columns if c not in narrow]
+        vocabulary = {c: [r["value"] for r in found if r["column"] == c] for c in columns if c not in wide}
+    wide += [c for c in columns if c not in wide and len(vocabulary[c]) > limit]
     hot: dict[str, Column] = {}
     for c in columns:
-        levels = sorted(vocabulary[c], key=lambda v: (v is None, v or ""))
-        if len(levels) > limit:
-            raise ValueError(f"{c} has more than {limit} categories: encode it by count instead")
-        for level in levels:
+        if c in wide:
+            continue
+        for level in sorted(vocabulary[c], key=lambda v: (v is None, v or "")):
             name = f"{prefix}{c}__{'null' if level is None else level}"
             same = f"{quoted(c)} IS NULL" if level is None else f"{quoted(c)} <=> {literal(level)}"
             hot[name] = F.expr(f"cast({same} AS int)")
-    return df.select("*", *[e.alias(n) for n, e in hot.items()])
+    out = df.select("*", *[e.alias(n) for n, e in hot.items()])
+    for c in wide:
+        out = sparse_one_hot(out, c, f"{prefix}{c}", vocabulary.get(c))
+    return out
+
+
+def sparse_one_hot(
+    df: DataFrame, column: str, out: str, vocabulary: Sequence[str | None] | None = None, max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """One sparse vector per row: a place for every category in lexicographic order, NULL behind them.
+
+    The NULL place is there only where the vocabulary has NULL; a category that
+    a given vocabulary lacks is the zero vector. Places come from a dictionary
+    join, so neither the plan nor the driver holds the categories that the data
+    bring, and a frequent category does not gather its rows.
+    """
+    if vocabulary is None:
+        fitted = df.select(column)
+    else:
+        levels = [(v,) for v in dict.fromkeys(vocabulary)]
+        fitted = df.sparkSession.createDataFrame(levels, f"{quoted(column)} string")
+    known = category_counts(fitted, [column])
+    size, has_null = known.agg(F.count("value"), F.count(F.lit(1)) > F.count("value")).first()
+    suffix, place, kept = "__place", f"{column}__place", f"{column}__known"
+    coded = _add_codes(df, fitted, [column], 0, -1, suffix, max_rows)
+    total = size + int(has_null)
+    number = F.when(F.col(place) >= 0, F.col(place)).when(F.lit(has_null) & F.col(column).isNull(), F.lit(size))
+    # one place more takes the categories that are not in the vocabulary; dropLast makes it the zero vector
+    attribute = {"ml_attr": {"type": "nominal", "name": kept, "num_vals": total + 1}}
+    numbered = coded.withColumn(kept, F.coalesce(number, F.lit(total)).cast("double").alias(kept, metadata=attribute))
+    encoder = OneHotEncoder(inputCols=[kept], outputCols=[out], dropLast=True)
+    return encoder.fit(numbered).transform(numbered).drop(place, kept)
 
 
 def _add_codes(

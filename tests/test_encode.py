@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from riskfeat.operators import encode
@@ -60,15 +61,39 @@ def test_counts_and_codes(rows, limit):
             assert r["cat__nn"] == levels.index(r["cat"])
 
 
-def test_one_hot_has_a_null_column_and_a_limit(rows):
+def test_one_hot_has_a_null_column(rows):
     df, _ = rows
     out = encode.one_hot(df, ["cat"])
     hot = [c for c in out.columns if c.startswith("APP_OHE_cat__")]
     assert "APP_OHE_cat__null" in hot and len(hot) == 9
     row = out.agg(*[F.sum(c).alias(c) for c in hot]).first()
     assert sum(row) == 600
-    with pytest.raises(ValueError):
-        encode.one_hot(df, ["cat"], limit=3)
+
+
+@pytest.mark.parametrize("max_rows", [encode.BROADCAST_ROWS, 0])
+def test_sparse_one_hot_agrees_with_columns(rows, max_rows):
+    df, _ = rows
+    narrow = encode.one_hot(df, ["cat"])
+    hot = [c for c in narrow.columns if c.startswith("APP_OHE_cat__")]
+    out = encode.sparse_one_hot(narrow, "cat", "v", max_rows=max_rows)
+    assert out.columns == [*narrow.columns, "v"]
+    for r in out.collect():
+        assert r["v"].size == len(hot) and r["v"].toArray().tolist() == [r[c] for c in hot]
+    given = encode.sparse_one_hot(df, "cat", "v", ["a", "hot"], max_rows=max_rows)
+    for r in given.collect():
+        assert r["v"].toArray().tolist() == [float(r["cat"] == "a"), float(r["cat"] == "hot")]
+
+
+def test_ten_thousand_categories_go_into_one_vector(spark):
+    df = spark.range(20_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'c0' ELSE concat('c', id % 10000) END AS c", "'k' AS few")
+    out = encode.one_hot(df, ["few", "c"])
+    assert out.columns == ["id", "c", "few", "APP_OHE_few__k", "APP_OHE_c"]
+    levels = df.select("c").distinct().count()
+    assert levels > 9_000
+    taken = VectorAssembler(inputCols=["APP_OHE_few__k", "APP_OHE_c"], outputCol="x").transform(out).collect()
+    assert all(r["x"].size == levels + 1 and r["x"].numNonzeros() == 2 for r in taken)
+    places = {(r["c"], int(r["APP_OHE_c"].indices[0])) for r in taken}
+    assert [i for _, i in sorted(places)] == list(range(levels))
 
 
 def test_unseen_categories_are_zero(rows):
