@@ -9,6 +9,7 @@ it, and writes its own result there:
     predictions      (key, model, fold, split, pred), partitioned by model, split and fold
     fold_values      target encodings by fold, one table per model
     summary          one row per trained model
+    stack_folds_*    predictions of the stack by fold: key and one column per fold, one table per split
     tuning_ledger, ensemble_ledger, submission_ledger
     scored/          the scored files
 """
@@ -29,7 +30,7 @@ from riskfeat.operators.folds import (
     FOLDS, SEED, check_folds, duplicate_keys, group_folds, split_by_label, stratified_folds,
 )
 from riskfeat.plans.auxiliary import event_level_features
-from riskfeat.plans.ensemble import run_ensemble
+from riskfeat.plans.ensemble import run_ensemble, stack_logistic
 from riskfeat.plans.training import FoldColumns, Learner, learner, run_oof
 from riskfeat.sources.sinks import (
     ENSEMBLE_LEDGER, append_ledger, fold_table, known_models, load_predictions, now, read_ledger, save_predictions, write_scored,
@@ -166,13 +167,46 @@ def ensemble_job(
     Raises where a model lacks a key or predicts one that is not its own.
     """
     stored = load_predictions(spark, f"{out}/predictions")
-    chosen = list(models or [m for m in known_models(stored) if m != "ensemble"])
+    chosen = list(models or [m for m in known_models(stored) if m not in BLENDS])
     result = run_ensemble(stored.filter(F.col("model").isin(chosen)), labels.filter(F.col(label).isNotNull()), chosen, key,
                           label, ledger=f"{out}/ensemble_ledger", **options)
     save_predictions(result["oof"].unionByName(result["score"]), f"{out}/predictions")
     return result
 
 
+BLENDS = ("ensemble", "stack")
+
+
+def stack_job(
+    spark: SparkSession, features: str, out: str, models: Sequence[str] | None = None, raw: Sequence[str] = (),
+    matrix: str = "main", key: str = ENTITY, label: str = LABEL, folds: int = FOLDS, run: str | None = None,
+    c: float = 1.0,
+) -> float:
+    """Stack the stored models on the stored folds, with ``raw`` columns of a matrix; returns the AUC.
+
+    Predictions are stored as model ``stack``, with a table of one column per
+    fold for each split, and a line goes to the summary. Raises where folds
+    and matrix, or a model and the folds, do not hold the same keys. Blends
+    are no inputs unless named.
+    """
+    rows, known = read_table(spark, features, matrix), read_table(spark, out, "folds")
+    aligned(known, split_by_label(rows, label)[0], key, "folds and labelled rows of the matrix")
+    stored = load_predictions(spark, f"{out}/predictions")
+    chosen = list(models or [m for m in known_models(stored) if m not in BLENDS])
+    mine = stored.filter(F.col("model").isin(chosen))
+    for m in chosen:
+        aligned(mine.filter((F.col("model") == m) & (F.col("split") == "oof")), known, key, f"predictions of {m} and folds")
+    table = rows.select(key, label, *raw).join(known, key, "left")
+    made, auc, per_fold, warnings = stack_logistic(mine, table, chosen, raw, key, label, folds=folds, c=c)
+    save_predictions(made, f"{out}/predictions")
+    for split in ("oof", "score"):
+        write_table(fold_table(made.filter(F.col("split") == split), key, "fold", "pred", folds), out, f"stack_folds_{split}")
+    append_ledger(spark, f"{out}/summary", SUMMARY, [(
+        now(), "stack", matrix, auc, ",".join("" if a is None else f"{a:.6f}" for a in per_fold), "; ".join(warnings), "")],
+        run=run and f"{run}-stack")
+    return auc
+
+
 def submit_job(
     spark: SparkSession, out: str, ids: DataFrame, model: str = "ensemble", oof_auc: float | None = None, key: str = ENTITY,
     run: str | None = None,

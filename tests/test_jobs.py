@@ -61,3 +61,34 @@ def test_group_folds_are_stored(spark, stored, tmp_path):
     rows = events.join(folds, "SK_ID_CURR").groupBy("fold_group").count().collect()
     assert max(r["count"] for r in rows) - min(r["count"] for r in rows) <= 8
     assert read_table(spark, str(tmp_path), "folds_group").count() == 48
+
+
+def test_stack_is_stored_by_fold(spark, tmp_path):
+    root, out = str(tmp_path / "features"), str(tmp_path / "run")
+    rng = np.random.default_rng(9)
+    truth = [(i, int(i % 3 == 0) if i < 240 else None, float(rng.normal()) if i % 7 else None) for i in range(300)]
+    matrix = spark.createDataFrame(truth, "SK_ID_CURR long, TARGET int, x double")
+    write_table(matrix, root, "main")
+    folds = jobs.fold_job(matrix, out, folds=3, tolerance=0.05)
+    fold_of = {r["SK_ID_CURR"]: r["fold_main"] for r in folds.collect()}
+    rows = []
+    for model, noise in (("a", 0.25), ("b", 0.4)):
+        for i, _, _ in truth:
+            for f in [fold_of[i]] if i < 240 else range(3):
+                pred = 1 / (1 + np.exp(-(2 * (i % 3 == 0) - 1 + noise * 4 * rng.normal())))
+                rows.append((i, model, f, "oof" if i < 240 else "score", float(pred)))
+    schema = "SK_ID_CURR long, model string, fold int, split string, pred double"
+    sinks.save_predictions(spark.createDataFrame(rows, schema), f"{out}/predictions")
+    auc = jobs.stack_job(spark, root, out, raw=["x"], folds=3, run="r")
+    assert jobs.stack_job(spark, root, out, raw=["x"], folds=3, run="r") == pytest.approx(auc)  # a blend is no input
+    assert auc > 0.8
+    stored = sinks.load_predictions(spark, f"{out}/predictions").filter("model = 'stack'")
+    assert stored.filter("split = 'oof'").count() == 240 and stored.filter("split = 'score'").count() == 180
+    oof, score = (read_table(spark, out, f"stack_folds_{s}").collect() for s in ("oof", "score"))
+    assert all([r[f"fold_{f}"] is not None for f in range(3)] == [f == fold_of[r["SK_ID_CURR"]] for f in range(3)] for r in oof)
+    assert len(score) == 60 and all(r[f"fold_{f}"] is not None for r in score for f in range(3))
+    lines = sinks.read_ledger(spark, f"{out}/summary", jobs.SUMMARY).filter("model = 'stack'").collect()
+    assert len(lines) == 1 and lines[0]["oof_auc"] == pytest.approx(auc)
+    sinks.save_predictions(spark.createDataFrame([(999, "a", 0, "oof", 0.5)], schema), f"{out}/predictions")
+    with pytest.raises(ValueError, match="predictions of a"):
+        jobs.stack_job(spark, root, out, folds=3)
