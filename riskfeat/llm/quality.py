@@ -6,7 +6,7 @@ bins to that feature's lookup table; afterwards round the strongest pairs, with
 one cut on either axis. A score is the sum of the tables' entries at the bins
 of a text, so a batch is scored by array look-ups and additions.
 
-The model is fitted on a bounded sample of labelled rows: about ``FIT_ROWS``,
+The model is fitted on a bounded sample of labelled rows: at most ``FIT_ROWS``,
 taken by a hash of doc_id. Everything else runs over all rows.
 """
 
@@ -205,21 +205,25 @@ def _features(texts: pa.Array) -> pa.Array:
         pa.array(np.arange(len(rows) + 1) * len(FEATURES), pa.int32()), pa.array(rows.ravel()))
 
 
+def _drawn(doc_id: str) -> F.Column:
+    """Place of an id in the draw of the sample, the same on every layout."""
+    return F.pmod(F.xxhash64(doc_id), F.lit(2**30))
+
+
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Additive:
-    """Model of labels.quality on the texts of ``docs``, from about ``fit_rows`` labelled rows.
+    """Model of labels.quality on the texts of ``docs``, from at most ``fit_rows`` labelled rows.
 
-    Only (doc_id, label) of the sample are broadcast and only its features come
-    to the driver: both are bounded by ``fit_rows``. Held-out ids, NULL ids and
-    labels other than 0 and 1 are left out.
+    Ids are drawn by their hash. Repeats of an (id, label) and of an (id, text)
+    count once, and both what is broadcast and the features that come to the
+    driver are cut at ``fit_rows``, so an id of any number of rows cannot
+    exceed them. Held-out ids, NULL ids and labels other than 0 and 1 are left
+    out; empty tables give a model that scores one half.
     """
     known = labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_label")).where(
-        ~held_out("_id") & F.col("_label").isin(0, 1))
-    n = known.count()
-    if n > fit_rows:
-        share = int(fit_rows / n * 2**30)
-        known = known.where(F.pmod(F.xxhash64("_id"), F.lit(2**30)) < share)
-    rows = whole_texts(docs).select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select(
-        _features("text").alias("x"), "_label").collect()
+        ~held_out("_id") & F.col("_label").isin(0, 1)).distinct().orderBy(_drawn("_id"), "_id", "_label").limit(fit_rows)
+    texts = whole_texts(docs).select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select(
+        "doc_id", "_label", F.xxhash64("text").alias("_text"), _features("text").alias("x")).distinct()
+    rows = texts.orderBy(_drawn("doc_id"), "doc_id", "_text", "_label").limit(fit_rows).select("x", "_label").collect()
     x = np.array([r["x"] for r in rows]).reshape(-1, len(FEATURES))
     return train(x, np.array([r["_label"] for r in rows], dtype=float))
 

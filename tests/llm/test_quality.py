@@ -1,3 +1,6 @@
+import math
+import zlib
+
 import numpy as np
 
 from riskfeat.llm import quality
@@ -54,3 +57,59 @@ def test_odd_documents(spark, odd, nothing):
     few = quality.fit(frame(spark, [(i, f"text {i}", "en", "a") for i in range(50)]),
                       spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id bigint, quality int"), fit_rows=10)
     assert np.isfinite(few.intercept)
+
+
+def test_the_sample_is_bounded_whatever_repeats(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda x, y: seen.append((len(x), y)))
+    copies = frame(spark, [(i % 3, f"text {i % 3}", "en", "a") for i in range(900)])
+    labels = spark.createDataFrame([(i % 3, i % 2) for i in range(900)], "doc_id bigint, quality int")
+    quality.fit(copies, labels, fit_rows=100)
+    ids = [i for i in range(3) if zlib.crc32(str(i).encode()) % 5]
+    assert seen.pop()[0] == 2 * len(ids)  # each id once with either label
+    many = frame(spark, [(1, f"text number {i}", "en", "a") for i in range(900)])
+    quality.fit(many, labels, fit_rows=100)
+    assert seen.pop()[0] == 100
+    wide = spark.createDataFrame([(i, i % 2) for i in range(900)], "doc_id bigint, quality int")
+    quality.fit(frame(spark, [(i, f"text {i}", "en", "a") for i in range(900)]), wide, fit_rows=100)
+    assert seen.pop()[0] == 100
+
+
+def plain_features(text):
+    """The features of an ASCII text, counted one by one."""
+    words, lines = text.split(), [x for x in text.split("\n") if x.strip()]
+    n, size = len(words), len(text)
+    if not n:
+        return [0.0] * len(quality.FEATURES)
+
+    def share(test):
+        return sum(map(test, text)) / size
+
+    letters = sum(map(str.isalpha, text))
+    often = max(words.count(w) for w in words)
+    return [
+        math.log(1 + n), sum(map(len, words)) / n, share(lambda c: c in "#*$%&|<>"), letters / size, share(str.isdigit),
+        sum(map(str.isupper, text)) / max(letters, 1), text.count("!") / n, text.count("|") / n,
+        sum(x in lines[:i] for i, x in enumerate(lines)) / len(lines), len(set(words)) / n ** 0.8,
+        math.log(1 + n / len(lines)), sum(x.rstrip()[-1] in ".!?:" for x in lines) / len(lines),
+        sum(len(w) <= 3 for w in words) / n, share(lambda c: not c.isalpha() and c not in " \n"), often / n,
+    ]
+
+
+TEXTS = [
+    "One two three.", "a bb  ccc\ndddd!\n\n  \ndddd!\na bb  ccc", "#tag | bar ! 12 Ab\nAb?", "", " \n ", "|", "x" * 5000 + " y " * 3000,
+    "Is it:\nyes.\nyes. \nNO", "12345 67 $%& <b>", "\tTab\tseparated\twords.",
+]
+
+
+def test_features_and_spark_scores_equal_plain_counting(spark):
+    for text in TEXTS:
+        assert np.allclose(quality.features_of(text.encode()), plain_features(text), atol=1e-12), text[:40]
+    docs = frame(spark, [(i, t, "en", "a") for i, t in enumerate(TEXTS * 20)]).repartition(7)
+    labels = spark.createDataFrame([(i, int(len(t) % 2)) for i, t in enumerate(TEXTS * 20)], "doc_id bigint, quality int")
+    learnt = [i for i in range(len(TEXTS) * 20) if zlib.crc32(str(i).encode()) % 5]
+    x = np.array([plain_features(TEXTS[i % len(TEXTS)]) for i in learnt])
+    want = quality.train(x, np.array([len(TEXTS[i % len(TEXTS)]) % 2 for i in learnt], dtype=float))
+    got = {r["doc_id"]: r["s"] for r in quality.scored(docs, quality.fit(docs, labels), "s").collect()}
+    for i, t in enumerate(TEXTS * 20):
+        assert abs(got[i] - want.score(np.array([plain_features(t)]))[0]) < 1e-6
