@@ -88,9 +88,9 @@ def attach(
         "_salt", F.when(answered, 1 + F.pmod(F.monotonically_increasing_id(), F.lit(1_000_003)))
         .otherwise(F.lit(0).cast("bigint")),
     )
-    cold = _prefixed(table.select(*on, F.struct(*values).alias("_cold")), on).withColumn(
-        "_side", F.lit(0).cast("bigint")
-    )
+    # always 0, but no literal: the optimizer would put a literal into the condition, and the join
+    # would then be dealt by the key alone
+    cold = _prefixed(table.select(*on, F.struct(*values).alias("_cold"), F.pmod(F.xxhash64(*on), F.lit(1)).alias("_side")), on)
     joined = step.join(
         cold, _match(step, cold, on, safe) & (step["_salt"] == cold["_side"]), "left"
     )

@@ -35,3 +35,21 @@ def test_null_safe_keys_match(spark):
 def test_size_is_checked(spark):
     assert as_small_table(spark.range(11), 10) is None
     assert as_small_table(spark.range(10), 10).count() == 10
+
+
+def test_answered_rows_are_scattered(spark):
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(4000).selectExpr("id", "CASE WHEN id % 10 > 0 THEN 0 ELSE id END AS k")
+        table = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"))
+        out = attach(rows, table, "k", weight="n", max_rows=0, hot_keys=3)
+        held = [r["count"] for r in out.groupBy(F.spark_partition_id()).agg(
+            F.count("*").alias("count"), F.max("top")).collect()]
+        assert sum(held) == 4000 and max(held) <= 2 * 4000 / 16
+        assert {r["k"]: r["top"] for r in out.collect()} == {r["k"]: r["top"] for r in table.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
