@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from riskfeat.llm.common import TILE, Forest, components, pair_slabs, spare, tiled, whole_groups, whole_texts
+from riskfeat.operators.lookup import attach
 from riskfeat.session import cut_lineage
 
 SHINGLE = 4
@@ -178,17 +179,20 @@ def near_duplicates(docs: DataFrame, carry: tuple[str, ...] = (), limit: int = T
     other than ``carry`` are not looked at.
 
     Equal fingerprints are one node, so a group of copies costs one row after
-    map-side combine however large it is.
+    map-side combine however large it is. Names go back to fingerprints, and
+    then to rows, with the largest classes broadcast and their rows scattered.
     """
     marked = cut_lineage(with_fingerprint(docs.select("doc_id", "text", *carry)).select(
         "doc_id", "fp", *carry))
-    nodes = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    nodes = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("_copies")))
     classes = components(near_links(nodes, limit))
-    rooted = nodes.join(classes, nodes["fp"] == classes["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = rooted.join(named, "root").select(F.col("fp").alias("node"), "component_id", "root")
-    return marked.join(by_fp, marked["fp"] == by_fp["node"]).select(
+    rooted = cut_lineage(nodes.join(classes, nodes["fp"] == classes["node"], "left").select(
+        "fp", "least", "_copies", F.coalesce("root", "fp").alias("root")))
+    named = cut_lineage(rooted.groupBy("root").agg(
+        F.min("least").alias("component_id"), F.count("*").alias("_members")))
+    by_fp = cut_lineage(attach(rooted, named, "root", weight="_members", max_rows=0).select(
+        "fp", "_copies", "component_id", "root"))
+    return attach(marked, by_fp, "fp", weight="_copies", max_rows=0).select(
         "doc_id", "fp", "component_id", "root", *carry)
 
 

@@ -121,3 +121,20 @@ def test_copies_in_documents_are_found(spark):
     got = {r["doc_id"]: (r["fp"] & (2**64 - 1), r["component_id"]) for r in simhash.near_duplicates(docs).collect()}
     assert got == {i: (f, least[k]) for (i, f), k in zip(rows, label)}
     assert docs.select(F.count("*")).first()[0] == len(got)
+
+
+def test_rows_of_one_fingerprint_do_not_meet_in_one_task(spark):
+    docs = frame(spark, [(i, None if i % 10 else f"text number {i} of its own words", "en", "a") for i in range(4000)])
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = simhash.near_duplicates(docs)
+        held = [r["count"] for r in found.groupBy(F.spark_partition_id()).agg(
+            F.count("*").alias("count"), F.max("component_id")).collect()]
+        assert sum(held) == 4000 and max(held) <= 2 * 4000 / 16
+        assert found.where("fp = 0").select("component_id").distinct().collect() == [(1,)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
