@@ -10,6 +10,10 @@ with counts of documents over the whole corpus. Terms that meet an entity in
 at least ``MIN_TEXTS`` different texts and carry ``GENERALISE`` or more of it
 are generalised, those with ``REMOVE`` or more are removed - wherever they
 stand, since they point at the entity there as well.
+
+Every token is a term, however short: letters, digits, marks and joiners in a
+row. Where a script writes no spaces, all runs of up to ``GRAMS`` code points
+are terms instead. The disclosed share alone decides.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructType
@@ -41,7 +46,10 @@ _DIGIT = re.compile(r"[0-9]")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_TERM = re.compile(r"[^\W\d_]{3,}")
+GRAMS = 4
+_UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]+")
+_ASCII_TERM = re.compile(r"[A-Za-z0-9_]+")
+_TERM = regex.compile(r"[\p{L}\p{N}\p{M}_\u200c\u200d]+")  # the same on ASCII texts, only slower
 
 Span = tuple[int, int, int]  # start, index of the kind, end
 
@@ -98,9 +106,30 @@ def _blanked(text: str, spans: list[Span]) -> str:
     return text
 
 
-def terms(text: str, spans: list[Span]) -> Iterator[re.Match]:
-    """Runs of three and more letters outside base spans."""
-    return _TERM.finditer(_blanked(text, spans) if spans else text)
+def _cut(token: str) -> Iterator[tuple[int, int]]:
+    """Start and end of every term within one token."""
+    at = 0
+    for m in _UNSPACED.finditer(token):
+        if at < m.start():
+            yield at, m.start()
+        for a in range(m.start(), m.end()):
+            for b in range(a + 1, min(a + GRAMS, m.end()) + 1):
+                yield a, b
+        at = m.end()
+    if at < len(token):
+        yield at, len(token)
+
+
+def terms(text: str, spans: list[Span]) -> Iterator[tuple[int, int, str]]:
+    """Start, end and lower-case spelling of every term outside base spans."""
+    rest = _blanked(text, spans) if spans else text
+    if rest.isascii():
+        for m in _ASCII_TERM.finditer(rest):
+            yield m.start(), m.end(), m.group().lower()
+        return
+    for m in _TERM.finditer(rest):
+        for a, b in _cut(m.group()):
+            yield m.start() + a, m.start() + b, m.group()[a:b].lower()
 
 
 def _joined(spans: list[tuple[int, str, int]]) -> str:
@@ -119,7 +148,10 @@ def _entities(text: pa.Array) -> pa.Array:
 def _terms(text: str | None) -> set[str]:
     t = text or ""
     spans = base_spans(t)
-    return set(_TERM.findall((_blanked(t, spans) if spans else t).lower()))
+    rest = _blanked(t, spans) if spans else t
+    if rest.isascii():
+        return set(_ASCII_TERM.findall(rest.lower()))
+    return {token[a:b].lower() for token in set(_TERM.findall(rest)) for a, b in _cut(token)}
 
 
 @F.arrow_udf(ArrayType(StringType()))
@@ -200,10 +232,9 @@ def _inspect(text: str | None, shares: dict[str, float], remove: float) -> dict:
     t = text or ""
     base = base_spans(t)
     named = [(s, KINDS[k], e) for s, k, e in base]
-    revealing = [(m.start(), "term", m.end(), shares[w]) for m in terms(t, base)
-                 if (w := m.group().lower()) in shares] if shares else []
+    revealing = [(a, "term", b, shares[w]) for a, b, w in terms(t, base) if w in shares] if shares else []
     every = sorted(named + [r[:3] for r in revealing],
-                   key=lambda x: (x[0], KINDS.index(x[1]) if x[1] in KINDS else len(KINDS)))
+                   key=lambda x: (x[0], KINDS.index(x[1]) if x[1] in KINDS else len(KINDS), x[2]))
     clean = None
     if every:
         dropped = {r[0] for r in revealing if r[3] >= remove}

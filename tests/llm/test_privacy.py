@@ -51,7 +51,7 @@ def test_terms_that_give_an_entity_away_go(spark):
     rows.append((90, "nobody said zorblax here", "en", "a"))
     docs = frame(spark, rows)
     found = {r["term"]: r["disclosure"] for r in privacy.term_disclosure(docs, floor=0.8).collect()}
-    assert set(found) == {"met", "wrote", "zorblax"}
+    assert set(found) == {"met", "to", "wrote", "zorblax"}
     assert found["met"] == 1.0 and found["zorblax"] < 1.0
     got = {r["doc_id"]: r["found"] for r in privacy.sanitise(docs, floor=0.8).collect()}
     assert got[90]["spans"] == "term:12:19" and got[90]["clean_text"] == "nobody said <TERM> here"
@@ -101,3 +101,23 @@ def test_leading_zeros_of_any_number_are_an_address(zeros):
         text = f"at {pad}{part}.{pad}2.3.4 end"
         spans = [s for s in privacy.base_spans(text) if s[1] == 1]
         assert [text[a:b] for a, _, b in spans] == ([f"{pad}{part}.{pad}2.3.4"] if found else []), (zeros, part)
+
+
+def test_handles_short_names_and_scripts_without_spaces_are_terms(spark):
+    telling = "@user4711 x_91 Li 李小龙 नमस्ते"
+    rows = [(i, f"{telling} wrote to zed@mail.org on day {i}", "en", "a") for i in range(8)]
+    rows += [(20 + i, f"somebody wrote on day {i % 8} about 李子 and 小 and {i}", "en", "a") for i in range(200)]
+    got = {r["doc_id"]: r["found"]["clean_text"] for r in privacy.sanitise(frame(spark, rows)).collect()}
+    assert all(got[i].split() == ["@", "wrote", "to", "<EMAIL>", "on", "day", str(i)] or
+               got[i].replace("<TERM>", "").split() == ["@", "wrote", "<EMAIL>", "on", "day", str(i)] for i in range(8)), got[0]
+    assert all(got[20 + i] == rows[8 + i][1] for i in range(200))
+
+
+def test_terms_of_a_text_are_those_that_are_counted():
+    rng = random.Random(7)
+    for _ in range(3_000):
+        text = "".join(rng.choice("aB1_ -.'İΣσं‍中国ไทé\n") for _ in range(rng.randint(0, 40)))
+        found = list(privacy.terms(text, []))
+        assert {w for _, _, w in found} == privacy._terms(text), text
+        assert all(text[a:b].lower() == w for a, b, w in found)
+        assert {i for i, c in enumerate(text) if c.isalnum()} <= {i for a, b, _ in found for i in range(a, b)}
