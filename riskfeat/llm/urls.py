@@ -96,22 +96,22 @@ def log_ratios(counts: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def scores(urls: DataFrame, order: int = ORDER) -> DataFrame:
-    """(a, b, label, held, score, size) of distinct ``urls`` (url, label, held); a and b identify the URL.
+    """(a, b, label, held, *others, score, size) of distinct ``urls`` (url, label, held, *others); a and b identify the URL.
 
     score is the summed log ratio in millionths, size the number of summands.
     label is 1 for accepted, 0 for rejected, NULL for others; held rows and
     those without a label add nothing to the counts but are scored.
     """
-    keyed = urls.select(F.xxhash64("url").alias("a"), F.xxhash64(F.lit("url"), F.col("url")).alias("b"),
-                        "label", "held", "url")
+    kept = ["a", "b", *[c for c in urls.columns if c != "url"]]
+    keyed = urls.withColumns({"a": F.xxhash64("url"), "b": F.xxhash64(F.lit("url"), F.col("url"))})
     spelt = grams(keyed, order)
     learnt = ~F.col("held")
     counts = cut_lineage(spelt.groupBy("gram").agg(
         F.count(F.when(learnt & (F.col("label") == 1), 1)).alias("accept"),
         F.count(F.when(learnt & (F.col("label") == 0), 1)).alias("reject"), F.count("*").alias("n")))
     ratios = cut_lineage(log_ratios(counts, order))
-    found = attach(spelt.select("a", "b", "label", "held", "gram"), ratios, "gram", weight="n")
-    return found.groupBy("a", "b", "label", "held").agg(
+    found = attach(spelt.select(*kept, "gram"), ratios, "gram", weight="n")
+    return found.groupBy(*kept).agg(
         F.sum("ratio").alias("score"), F.count("*").alias("size"))
 
 
@@ -156,14 +156,15 @@ def judged(pages: DataFrame, rules: Rules = RULES, order: int = ORDER) -> DataFr
     asked = asked.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     label = F.when(_verdict_of(F.col("rule"), rules) == "allow", 1).when(F.col("rule").isNotNull(), 0)
     urls = asked.groupBy("url", label.alias("label")).agg(
-        F.first(F.crc32("url") % CALIBRATION == 0).alias("held"))
+        F.first(F.crc32("url") % CALIBRATION == 0).alias("held"), F.count("*").alias("pages"))
     both = urls.where("NOT held AND label IS NOT NULL").agg(F.count_distinct("label")).first()[0] == 2
     scored = cut_lineage(scores(urls, order))
     cut = calibrated(scored) if both else 0.0
     passes = (F.col("score") >= F.lit(cut * SCALE) * F.col("size")) if both else F.lit(True)
-    verdicts = scored.select("a", "b", (F.col("score") / F.col("size") / SCALE).alias("score"),
+    verdicts = scored.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "pages", (F.col("score") / F.col("size") / SCALE).alias("score"),
                              F.when(passes, "allow").otherwise("block").alias("_model"))
     keyed = asked.withColumns({"_a": F.xxhash64("url"), "_b": F.xxhash64(F.lit("url"), F.col("url"))})
-    joined = keyed.join(verdicts, (keyed["_a"] == verdicts["a"]) & (keyed["_b"] == verdicts["b"]), "left")
+    # NULL URLs are one key, and some pages come often: those are answered before the shuffle
+    joined = attach(keyed.drop("url"), verdicts, ["_a", "_b"], weight="pages")
     return joined.select("page_id", "host", "path", "rule", F.coalesce(
         _verdict_of(F.col("rule"), rules), F.col("_model")).alias("verdict"), "score")
