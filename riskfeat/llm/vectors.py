@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, StructType
 
 from riskfeat.llm.common import TILE, Forest, components, pair_slabs, paired, whole_groups
+from riskfeat.operators.lookup import attach
 from riskfeat.session import cut_lineage
 
 THRESHOLD = 0.98
@@ -185,13 +186,16 @@ def near_duplicates(rows: DataFrame, limit: int = TILE) -> DataFrame:
     known = classes.select("h1", "h2", "node", "least", "copies")
     known = known.join(counts, known["node"] == counts["_node"], "left")
     known = known.join(roots, known["node"] == roots["_of"], "left").select(
-        "h1", "h2", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        "h1", "h2", "least", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("root", "node").alias("root"))
-    named = known.groupBy("root").agg(F.min("least").alias("component"))
-    known = known.join(named, "root").select(
-        F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "n_links", "component")
+    known = cut_lineage(known)
+    named = cut_lineage(known.groupBy("root").agg(
+        F.min("least").alias("component"), F.count("*").alias("members")))
+    known = cut_lineage(attach(known, named, "root", weight="members", max_rows=0).select(
+        "h1", "h2", "copies", "n_links", "component"))
+    # rows without a class have NULL keys, which attach scatters like those of the largest classes
     keys = keyed.select("vec_id", "h1", "h2", "_valid")
-    joined = keys.join(known, (keys["h1"] == known["_h1"]) & (keys["h2"] == known["_h2"]), "left")
+    joined = attach(keys, known, ["h1", "h2"], weight="copies", max_rows=0)
     component = F.when(F.col("_valid"), F.col("component")).otherwise(F.col("vec_id"))
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
                          component.alias("component_id")).withColumn(
