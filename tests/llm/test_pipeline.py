@@ -67,4 +67,4 @@ def test_every_operator_and_the_pipeline_are_registered():
 
     names = set(entry.queries())
     assert "pipeline" in names and set(queries.QUERIES) <= names
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
