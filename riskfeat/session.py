@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,14 +32,13 @@ def local_session(cores: str = "8", memory: str = "8g", app: str = "riskfeat") -
     return session
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and return it read back from there.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints and other intermediate tables, set where none is.
 
-    The folder comes from ``spark.checkpoint.dir``. Only a local master may
-    fall back to a folder of its own: on a cluster that would be a path other
-    machines cannot read.
+    It comes from ``spark.checkpoint.dir``. Only a local master may fall back
+    to a folder of its own: on a cluster that would be a path other machines
+    cannot read.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -47,4 +47,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="run-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the checkpoint folder and return it read back from there."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as parquet beside the checkpoints and read back.
+
+    For wide tables that are read a few columns at a time: a checkpoint holds
+    whole rows, and every pass over it reads all of them.
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/stored-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

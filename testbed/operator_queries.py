@@ -16,7 +16,7 @@ from riskfeat.plans.auxiliary import rollup_predictions
 from riskfeat.plans.ensemble import rank_blend, wide_predictions
 from riskfeat.plans.installments import PAYMENT_STATS, installments_features
 from riskfeat.plans.balances import pos_features, recency_weighted_lateness
-from riskfeat.session import cut_lineage
+from riskfeat.session import cut_lineage, stored
 from riskfeat.sources.sinks import constant_scores, fold_table, mean_over_folds, scored_rows
 from riskfeat.sources.tables import CATALOG, clean
 from testbed.feature_queries import _PAYMENT_CTES, _PAYMENT_STATS, _POS_STATS, block_sql, cleaned_sql
@@ -425,14 +425,14 @@ _PAIRED = [f"{p}_{s.suffix}" for p in ("INS", *(f"INS_{w}" for w in names.PAYMEN
     "SELECT a, b, round(corr, 6) + 0.0 AS corr FROM c WHERE NOT isnan(corr) AND corr > 0.98"))
 def correlated_payment_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of the payment features that are too similar to keep both."""
-    table = QUERIES["installments_table"](spark, sf_dir)
+    table = stored(QUERIES["installments_table"](spark, sf_dir))  # medians, moments and products each read it
     return rounded(prune.correlated_pairs(table, _PAIRED, 0.98))
 
 
 @query()
 def pruned_for_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The weaker column of every too similar pair among all columns of the six feature tables."""
-    joined = cut_lineage(QUERIES["joined_features"](spark, sf_dir))
+    joined = stored(QUERIES["joined_features"](spark, sf_dir))
     table = joined if "TARGET" in joined.columns else joined.join(application(spark, sf_dir).select(ID, "TARGET"), ID)
     return spark.createDataFrame([(c,) for c in prune.correlated_columns(table, ID, "TARGET", 0.98)], "column string")
 

@@ -3,6 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskfeat.operators import prune
+from riskfeat.session import stored
+from testbed import operator_queries
 
 
 @pytest.fixture(scope="module")
@@ -110,3 +112,26 @@ def test_k_best(table):
 def test_prune_keeps_key_and_label(table):
     out = prune.prune(table, "id", "y")
     assert out.columns == ["id", "y", "signal", "noise", "s"]
+
+
+def test_stored_table_is_read_by_columns(table):
+    kept = stored(table)
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, table.collect())) and kept.schema == table.schema
+    plan = kept.select("noise")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<noise:double>" in plan
+
+
+def test_correlated_payment_columns_builds_its_table_once(spark, monkeypatch):
+    rows = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            rows.add(len(b))
+            yield b
+
+    names = operator_queries._PAIRED
+    made = spark.range(40).select("id", *[(F.hash("id", F.lit(c)) % 50).cast("double").alias(c) for c in names])
+    monkeypatch.setitem(operator_queries.QUERIES, "installments_table",
+                        lambda *_: made.mapInPandas(counted, made.schema))
+    operator_queries.correlated_payment_columns(spark, "").collect()
+    assert rows.value == 40
