@@ -314,13 +314,18 @@ def _chunks(names: Sequence[str], size: int) -> Iterator[Sequence[str]]:
 
 
 def medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000, chunk: int = 100) -> dict[str, float]:
-    """Approximate medians; 0 for a column without a value."""
-    out: dict[str, float] = {}
+    """Approximate medians; 0 for a column without a value.
+
+    A chunk's sketches are merged column by column, in as many tasks as there
+    are columns: merged as one row they would all meet in a single task, which
+    has the more to do the more partitions there are.
+    """
+    out = dict.fromkeys(columns, 0.0)
     for part in _chunks(columns, chunk):
-        row = df.selectExpr(*[
-            f"percentile_approx({finite_sql(c)}, 0.5, {accuracy}) AS m{i}" for i, c in enumerate(part)
-        ]).first()
-        out.update({c: 0.0 if row[f"m{i}"] is None else float(row[f"m{i}"]) for i, c in enumerate(part)})
+        wide = df.selectExpr(*[f"cast({finite_sql(c)} AS double) AS m{i}" for i, c in enumerate(part)])
+        long = wide.unpivot([], wide.columns, "which", "value").filter("value IS NOT NULL")
+        rows = long.groupBy("which").agg(F.percentile_approx("value", 0.5, accuracy).alias("m")).collect()
+        out.update({part[int(r["which"][1:])]: float(r["m"]) for r in rows})
     return out
 
 

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskfeat.operators import prune
+from riskfeat.operators.encode import medians
 from riskfeat.session import stored
 from testbed import operator_queries
 
@@ -135,3 +136,18 @@ def test_correlated_payment_columns_builds_its_table_once(spark, monkeypatch):
                         lambda *_: made.mapInPandas(counted, made.schema))
     operator_queries.correlated_payment_columns(spark, "").collect()
     assert rows.value == 40
+
+
+def test_medians_are_merged_by_column(spark):
+    df = spark.range(0, 99, 1, 4).select(F.col("id").alias("a b"), (F.col("id") * -2.5).alias("c"), F.lit(None).cast("double").alias("d"))
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    context.setJobGroup("medians", "medians")
+    try:
+        assert medians(df, df.columns) == {"a b": 49.0, "c": -122.5, "d": 0.0}
+        tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("medians") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert min(tasks) > 1
