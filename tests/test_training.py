@@ -1,3 +1,5 @@
+from threading import Barrier
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -184,6 +186,18 @@ def test_event_level_features(spark):
     assert rows[1][1] > rows[0][1] + 0.2
 
 
+def test_folds_run_side_by_side_and_keep_their_order(spark):
+    together = Barrier(3, timeout=30)  # breaks unless three folds are at work at the same time
+
+    def work(f):
+        together.wait()
+        return spark.range(f + 1).count()
+
+    assert training.of_every_fold(spark, 3, work) == [1, 2, 3]
+    with pytest.raises(KeyError):
+        training.of_every_fold(spark, 3, lambda f: {}[f])
+
+
 def test_rollup_threshold_by_unit(spark):
     months = spark.createDataFrame([(1, -3, 0.2), (1, -4, 0.9)], "SK_ID_CURR long, t int, pred double")
     days = spark.createDataFrame([(1, -90, 0.2), (1, -91, 0.9), (1, -101, 0.9)], "SK_ID_CURR long, t int, pred double")
