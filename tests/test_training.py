@@ -186,6 +186,23 @@ def test_event_level_features(spark):
     assert rows[1][1] > rows[0][1] + 0.2
 
 
+def test_events_meet_their_folds_once(spark):
+    used = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            used.add(len(b))
+            yield b
+
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "SK_ID_CURR long, TARGET int")
+    events = spark.range(90).select((F.col("id") % 30).alias("SK_ID_CURR"), (F.col("id") % 7).cast("double").alias("x"))
+    group = labels.select("SK_ID_CURR", (F.col("SK_ID_CURR") % 3).cast("int").alias("fold_group"))
+    model = training.Learner("auxiliary", "gbt", params=dict(maxIter=1, maxDepth=1))
+    out = auxiliary.event_level_features(
+        events, labels, "X", folds=3, model=model, group=group.mapInPandas(counted, group.schema))
+    assert out.count() == 30 and used.value == 30
+
+
 def test_folds_run_side_by_side_and_keep_their_order(spark):
     together = Barrier(3, timeout=30)  # breaks unless three folds are at work at the same time
 
