@@ -17,6 +17,8 @@ import hashlib
 import re
 import struct
 import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 from heapq import heapify, heappop, heappush
 
@@ -34,7 +36,7 @@ LEAF = 4  # bytes that are merged directly
 LEAF_IDS = 1024  # ids that are decoded directly
 DIRECT = 256  # bytes up to which the least pair is looked for by scanning
 STEPS = 64  # re-encoded pairs a token after which a join starts over from the bytes
-_KEPT = 1 << 18  # entries of a memo before it starts anew
+_KEPT = 1 << 17  # entries of a memo before it starts anew
 
 
 class Memo(dict):
@@ -58,6 +60,10 @@ class Memo(dict):
         self[key] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
 
 class Codec:
     """Encoder and decoder over one table of ranks."""
@@ -162,6 +168,10 @@ class Codec:
             return self.decode(ids[:n // 2]) + self.decode(ids[n // 2:])
         return b"".join([self.bytes_of[i] for i in ids])
 
+    def forget(self) -> None:
+        self._window.forget()
+        self._tree.forget()
+
 
 ASCII, BASIC = 0x7F, 0xFFFF
 
@@ -245,6 +255,12 @@ class TextCoder:
         spelt = self.spelt
         return b"".join([spelt[p] for p in packed])
 
+    def forget(self) -> None:
+        """Drop what is remembered of pieces; the ranks stay."""
+        self.packed.forget()
+        self.spelt.forget()
+        self.codec.forget()
+
 
 def _default(path: str | None, pattern: str | None) -> tuple[str, str]:
     if path is None or pattern is None:
@@ -264,6 +280,20 @@ def _coder(path: str, pattern: str) -> TextCoder:
     return _coders[path, pattern]
 
 
+@contextmanager
+def _coding(path: str, pattern: str) -> Iterator[TextCoder]:
+    """The coder for one task, whose memos end with it.
+
+    An executor keeps more Python workers than it runs tasks and takes them in
+    turn: memos that outlive their task fill every one of them.
+    """
+    coder = _coder(path, pattern)
+    try:
+        yield coder
+    finally:
+        coder.forget()
+
+
 _DIGESTS = StructType().add("n_tokens", LongType()).add("ids_sha256", StringType()).add(
     "decoded_sha256", StringType())
 
@@ -278,16 +308,19 @@ def digests(text: str = "text", path: str | None = None, pattern: str | None = N
     where = _default(path, pattern)
 
     @F.arrow_udf(_DIGESTS)
-    def run(texts: pa.Array) -> pa.Array:
-        coder, rows = _coder(*where), ([], [], [])
-        for t in texts:
-            packed = coder.encode(t.as_py() or "")
-            ids = b"".join(packed)
-            rows[0].append(len(ids) // 4)
-            rows[1].append(hashlib.sha256(ids).hexdigest())
-            rows[2].append(hashlib.sha256(coder.decode(packed)).hexdigest())
-        return pa.StructArray.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()),
-                                           pa.array(rows[2], pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        with _coding(*where) as coder:
+            for texts in batches:
+                rows = ([], [], [])
+                for t in texts:
+                    packed = coder.encode(t.as_py() or "")
+                    ids = b"".join(packed)
+                    rows[0].append(len(ids) // 4)
+                    rows[1].append(hashlib.sha256(ids).hexdigest())
+                    rows[2].append(hashlib.sha256(coder.decode(packed)).hexdigest())
+                yield pa.StructArray.from_arrays(
+                    [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.string())],
+                    ["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run(F.col(text))
 
@@ -297,9 +330,10 @@ def token_ids(text: str = "text", path: str | None = None, pattern: str | None =
     where = _default(path, pattern)
 
     @F.arrow_udf(BinaryType())
-    def run(texts: pa.Array) -> pa.Array:
-        coder = _coder(*where)
-        return pa.array([b"".join(coder.encode(t.as_py() or "")) for t in texts], pa.binary())
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        with _coding(*where) as coder:
+            for texts in batches:
+                yield pa.array([b"".join(coder.encode(t.as_py() or "")) for t in texts], pa.binary())
 
     return run(F.col(text))
 

@@ -99,3 +99,26 @@ def test_odd_documents_come_back(odd, nothing):
     assert bytepair.encoded(nothing).count() == 0
     digests = odd.select("doc_id", bytepair.digests().alias("d")).select("d.*").collect()
     assert len(digests) == len(ODD)
+
+
+@pytest.mark.parametrize("closed_early", [False, True])
+def test_a_task_leaves_nothing_remembered(closed_early):
+    """Idle workers that kept their memos took an executor over its memory."""
+    coder = bytepair._coder(PATH, public_tokenizers.PATTERN)
+
+    def held():
+        return sum(len(m) + len(m.old) for m in (coder.packed, coder.spelt, coder.codec._tree, coder.codec._window))
+
+    def task():
+        with bytepair._coding(PATH, public_tokenizers.PATTERN) as same:
+            for _ in range(3):
+                yield same.decode(same.encode("the things in the inn, zxqq"))
+
+    running = task()
+    next(running)
+    assert held() > 0
+    if closed_early:
+        running.close()
+    else:
+        list(running)
+    assert held() == 0
