@@ -115,3 +115,33 @@ def test_windows_of_two_columns_are_not_nested():
     assert not a._nested([life, w, a.Block.of_recent("B", stats, "d", -9)])
     assert not a._nested([life, w, a.Block.of_recent("B", stats, "m", -9, inclusive=False)])
     assert not a._nested([life, w, a.Block("B", stats, w.where)]) and not a._nested([life])
+
+
+def widths(df, kind):
+    """Columns that the nodes of a kind put out in the optimised plan."""
+    found, todo = [], [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == kind:
+            found.append(node.output().size())
+    return found
+
+
+def test_joins_on_key_carry_a_struct_per_frame(spark):
+    first = spark.createDataFrame([(1, 1.0), (2, None), (2, 3.0), (None, 4.0)], "id long, `a b` double")
+    second = spark.createDataFrame([(1, "x"), (3, "y"), (None, "z")], "id long, s string").select(
+        "id", "s", *[F.length("s").alias(f"w{i}") for i in range(40)])
+    third = spark.createDataFrame([(2, 5)], "id long, n long")
+    plain = first.join(second, "id", "left").join(third, "id", "left")
+    out = a.join_on_key([first, second, third], "id")
+    assert out.dtypes == plain.dtypes and collected(out) == collected(plain)
+    assert max(widths(out, "Join")) <= 6
+    assert collected(a.join_on_key([first.select("id"), second, third], "id")) == collected(plain.drop("a b"))
+
+
+@pytest.mark.parametrize("spec", ["blocks", "recent_blocks"])
+def test_folds_carry_a_struct_per_block(events, spec):
+    df = events.withColumn("n", F.col("m") * 2)
+    folded = a.aggregate_blocks(df, "id", globals()[spec](), one_pass_limit=0)
+    assert min(widths(folded, "Aggregate")) <= 1 + len(globals()[spec]())
