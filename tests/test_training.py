@@ -292,6 +292,17 @@ def test_run_ensemble(spark, scored, tmp_path):
     assert result["oof_auc"] > best_single
 
 
+def test_ranks_of_predictions_that_differ_when_computed_again(spark):
+    """A mean of doubles may end in another digit each time; every key has its rank all the same."""
+    def noisy(batches):
+        for b in batches:
+            yield b.assign(pred=b["pred"] + np.random.default_rng().random(len(b)) * 1e-13)
+
+    rows = spark.range(400).select(F.col("id").alias("SK_ID_CURR"), F.lit("a").alias("model"), (F.col("id") / 400).alias("pred"))
+    ranks = ensemble.model_ranks(rows.mapInPandas(noisy, rows.schema), ["a"]).collect()
+    assert sorted((r["SK_ID_CURR"], r["a"]) for r in ranks) == [(i, pytest.approx(i / 399)) for i in range(400)]
+
+
 def test_stacking(scored):
     predictions, labels, _, _ = scored
     out, auc, fold_aucs, _ = ensemble.stack_logistic(predictions, labels, MODELS, ["raw"], folds=3)
