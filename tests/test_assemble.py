@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from riskfeat.plans import assemble
 from riskfeat.plans import columns as names
+from riskfeat.session import checkpoint_folder
 from riskfeat.sources import tables
+from testbed import operator_queries
 from testbed.roles import role
 
 SF = "/root/testdata/sf0.001"
@@ -65,3 +67,23 @@ def test_pruned_columns_are_gone(matrices):
     row = joined.agg(*[F.count(c).alias(c) for c in joined.columns]).first()
     empty = [c for c in joined.columns if row[c] == 0]
     assert empty and not set(empty) & set(main.columns)
+
+
+def test_feature_tables_wait_for_their_join_in_columns(spark, monkeypatch):
+    """No table is checkpointed row by row; each is written as parquet once and joined by key."""
+    base = spark.createDataFrame([(i, i % 2) for i in range(6)], "SK_ID_CURR long, TARGET int")
+    monkeypatch.setattr(operator_queries, "application", lambda spark, sf_dir: base)
+    for i, name in enumerate(operator_queries._SIX):
+        table = base.filter(f"SK_ID_CURR > {i - 1}").selectExpr("SK_ID_CURR", f"SK_ID_CURR * {i} AS `c {i}`")
+        monkeypatch.setitem(operator_queries.QUERIES, name, lambda spark, sf_dir, table=table: table)
+    folder = checkpoint_folder(spark)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    disk = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def made(kind):
+        return {str(f.getPath()) for f in disk.listStatus(path) if f.getPath().getName().startswith(kind)}
+
+    before = made("rdd-"), made("stored-")
+    out = operator_queries.joined_features(spark, "").orderBy("SK_ID_CURR").collect()
+    assert made("rdd-") == before[0] and len(made("stored-") - before[1]) == 6
+    assert [tuple(r) for r in out] == [(k, k % 2, *[k * i if k > i - 1 else None for i in range(6)]) for k in range(6)]
